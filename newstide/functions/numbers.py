@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# A failing cast raises and catches an exception per value, and the JVM takes a type
+# suffix as in '1.0d' for part of a number; the patterns keep both away from the cast.
+_WHOLE = r"^\s*[+-]?[0-9]+\s*$"
+_DECIMAL = r"(?i)^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|nan|inf|infinity)\s*$"
+
 
 def long_or_zero(text: Column) -> Column:
     """Whole number in ``text``, else 0; ``'1.5'`` counts as no whole number."""
-    return F.coalesce(text.cast("string").try_cast("bigint"), F.lit(0).cast("bigint"))
+    text = text.cast("string")
+    value = F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
+    return F.coalesce(value, F.lit(0).cast("bigint"))
 
 
 def double_or_zero(text: Column) -> Column:
-    """Decimal number in ``text``, else 0.0; ``'nan'`` parses as NaN.
-
-    The JVM also reads a type suffix as in ``'1.0d'``; that is not a number here.
-    """
+    """Decimal number in ``text``, else 0.0; ``'nan'`` parses as NaN."""
     text = text.cast("string")
-    has_suffix = text.rlike(r"[0-9.][dDfF]\s*$")
-    return F.coalesce(F.when(~has_suffix, text.try_cast("double")), F.lit(0.0))
+    return F.coalesce(F.when(text.rlike(_DECIMAL), text.try_cast("double")), F.lit(0.0))
 
 
 def relative_change(first: Column, last: Column) -> Column:

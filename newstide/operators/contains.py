@@ -1,13 +1,16 @@
 """Join articles with every dictionary entry their text contains.
 
 ``contains`` offers no key to hash on. Two exact plans are used, and neither
-shuffles an article:
+shuffles an article that comes in enough splits:
 
 * few entries: broadcast the dictionary and test each pair (nested loop);
 * many entries: every entry is filed under one of its character n-grams. An
   article is expanded to its distinct n-grams, these probe the broadcast
   dictionary by hash, and only the hits are tested with ``contains``. An entry
-  that occurs has all its n-grams in the text, so nothing is missed.
+  that occurs has all its n-grams in the text, so nothing is missed. Entries
+  shorter than an n-gram are filed under the empty text, which every article
+  yields, as long as they are few; otherwise under themselves, with n-grams of
+  their length added.
 
 The dictionary is measured first. If it is too large to broadcast at once it is
 split by hash into parts that each fit, and the articles are read once per part.
@@ -20,13 +23,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newstide.workspace import stage
+from newstide.workspace import spread, stage
 
 
 @dataclass(frozen=True)
 class ContainsLimits:
     gram: int = 4
-    nested_loop_entries: int = 300
+    nested_loop_entries: int = 100
     broadcast_bytes: int = 64 << 20
     row_overhead_bytes: int = 120
 
@@ -41,17 +44,21 @@ def _grams(text: Column, n: int) -> Column:
     return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
 
 
-def _anchored(entries: DataFrame, gram: int) -> DataFrame:
+def _anchored(entries: DataFrame, gram: int, few_short: bool) -> DataFrame:
     """File each needle under the n-gram it shares with the fewest other needles."""
-    needles = entries.select(_NEEDLE).distinct()
-    size = F.least(F.char_length(_NEEDLE), F.lit(gram))
-    pieces = needles.select(
-        _NEEDLE,
-        F.explode(
-            F.when(size < gram, F.array(F.col(_NEEDLE))).otherwise(
-                F.array_distinct(_grams(F.col(_NEEDLE), gram))
-            )
-        ).alias(_ANCHOR),
+    needle = F.col(_NEEDLE)
+    short = F.char_length(needle) < gram
+    pieces = (
+        entries.select(_NEEDLE)
+        .distinct()
+        .select(
+            _NEEDLE,
+            F.explode(
+                F.when(short, F.array(F.lit("") if few_short else needle)).otherwise(
+                    F.array_distinct(_grams(needle, gram))
+                )
+            ).alias(_ANCHOR),
+        )
     )
     shared = pieces.groupBy(_ANCHOR).agg(F.count(F.lit(1)).alias("_shared"))
     anchors = (
@@ -87,6 +94,7 @@ def contains_join(
     measured = entries.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes"),
+        F.count_if(F.char_length(_NEEDLE) < limits.gram).alias("short"),
         F.collect_set(F.least(F.char_length(_NEEDLE), F.lit(limits.gram))).alias("lengths"),
     ).first()
 
@@ -95,7 +103,7 @@ def contains_join(
         plan = "nested_loop" if measured["rows"] <= limits.nested_loop_entries else "grams"
 
     lowered = [f"_lower_{i}" for i in range(len(fields))]
-    haystack = articles.select(
+    haystack = spread(articles).select(
         "*", *[F.lower(F.coalesce(F.col(f), F.lit(""))).alias(h) for f, h in zip(fields, lowered)]
     )
     found = reduce(
@@ -104,13 +112,18 @@ def contains_join(
     output = articles.columns + dictionary.columns
 
     if plan == "grams":
-        entries = stage(_anchored(entries, limits.gram), "anchored")
-        lengths = sorted(measured["lengths"]) or [limits.gram]
-        pieces = F.array_distinct(
-            F.concat(*[_grams(F.col(h), n) for n in lengths for h in lowered])
+        few_short = measured["short"] <= limits.nested_loop_entries
+        entries = stage(_anchored(entries, limits.gram, few_short), "anchored")
+        lengths = [limits.gram] if few_short else sorted(measured["lengths"])
+        pieces = [_grams(F.col(h), n) for n in lengths for h in lowered]
+        if few_short and measured["short"]:
+            pieces.append(F.array(F.lit("")))
+        # The outer form spares the optimizer's size test, which would cut the text twice.
+        haystack = haystack.select(
+            "*", F.explode_outer(F.array_distinct(F.concat(*pieces))).alias("_gram")
         )
-        haystack = haystack.select("*", F.explode(pieces).alias("_gram"))
-        found = (F.col("_gram") == F.col(_ANCHOR)) & found
+        whole = (F.col(_ANCHOR) == F.col(_NEEDLE)) if not few_short else F.lit(False)
+        found = (F.col("_gram") == F.col(_ANCHOR)) & (whole | found)
 
     def join_part(part: int) -> DataFrame:
         chosen = entries

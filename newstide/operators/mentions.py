@@ -10,7 +10,7 @@ from newstide.functions.dates import add_time_period
 from newstide.functions.text import clean_company_name, names_in_text, plain_text, sectors_in_text
 from newstide.operators.contains import DEFAULTS, ContainsLimits, contains_join
 from newstide.operators.keys import row_digest
-from newstide.workspace import stage
+from newstide.workspace import spread, stage
 
 FIELDS = ["title", "text", "short_description"]
 
@@ -101,7 +101,9 @@ def search_for_sector(
 
 def _explode_and_count(df: DataFrame, array: str, name: str) -> DataFrame:
     return (
-        df.select(F.explode(array).alias(name), "time_period", "sentiment")
+        # The outer form spares the optimizer's size test, which would build the array twice.
+        df.select(F.explode_outer(array).alias(name), "time_period", "sentiment")
+        .filter(F.col(name).isNotNull())
         .groupBy(name, "time_period")
         .agg(
             F.count(F.lit(1)).alias("number_of_articles"), F.avg("sentiment").alias("sentiment")
@@ -160,11 +162,12 @@ def add_stocks_sectors_sentiment(
     score is the given column, by default the constant 0.5 for any text.
     """
     plain = plain_text(*[F.col(f) for f in FIELDS])
-    dated = add_time_period(articles).withColumn("_plain", plain)
+    dated = spread(add_time_period(articles).withColumn("_plain", plain))
     score = sentiment if sentiment is not None else F.when(F.col("_plain").isNotNull(), F.lit(0.5))
     with_names = _attach_matches(
         dated,
-        names.select("companyname").filter(F.col("companyname").isNotNull()),
+        # Tokens are lower-case ASCII letters and digits: no other name can match.
+        names.select("companyname").filter(F.lower("companyname").rlike("^[a-z0-9]*$")),
         F.col("companyname"),
         names_in_text,
         "stocks",

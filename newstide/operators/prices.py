@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newstide.functions.dates import month_of_epoch
+from newstide.functions.dates import month_number, month_of_epoch
 from newstide.functions.numbers import relative_change
 from newstide.operators.keys import one_per_key
 
@@ -41,12 +41,11 @@ def _first_and_last(ticks: DataFrame, keys: list[str], *extra: Column) -> DataFr
     tick = F.struct(F.col("timestamp").alias("ts"), F.col("close").alias("px"))
     return (
         ticks.filter(_usable(F.col("close")) & F.col("timestamp").isNotNull())
-        .withColumn("time_period", month_of_epoch(F.col("timestamp")))
-        .groupBy("time_period", *keys)
+        .groupBy(month_number(F.col("timestamp")).alias("_month"), *keys)
         .agg(F.min(tick).alias("lo"), F.max(tick).alias("hi"), *extra)
         .filter(F.col("lo") != F.col("hi"))
         .select(
-            "time_period",
+            month_of_epoch(F.col("lo.ts")).alias("time_period"),
             *keys,
             F.col("lo.ts").alias("first_date"),
             F.col("lo.px").alias("first_value"),

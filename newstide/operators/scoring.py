@@ -6,8 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newstide.functions.sentiment import ENGLISH, Lexicon, sentence_scores, signed_confidence, strongest
+from newstide.functions.sentiment import (
+    ENGLISH,
+    Lexicon,
+    sentence_scores,
+    signed_confidence,
+    strongest,
+)
 from newstide.functions.text import article_text
+from newstide.workspace import spread
 
 
 def add_sentiment(
@@ -20,14 +27,17 @@ def add_sentiment(
 
     Articles without any scored sentence are dropped. ``scorer`` maps the article
     text to an array of ``(result, confidence, pos)`` and replaces the lexicon.
-    Everything happens within the row: no sort, no self-join, no shuffle.
+    Everything happens within the row: no sort and no self-join.
     """
     keep = keep or ["title", "text", "short_description", "date"]
     scores = (scorer or (lambda text: sentence_scores(text, lexicon)))(
         article_text(F.col("title"), F.col("text"), F.col("short_description"))
     )
+    # Exploding the one value makes it a computed column; a filter on a plain alias
+    # would be pushed below and score the text a second time.
     return (
-        articles.select(*keep, strongest(scores).alias("_best"))
+        spread(articles)
+        .select(*keep, F.explode_outer(F.array(strongest(scores))).alias("_best"))
         .filter(F.col("_best").isNotNull())
         .select(
             *keep,

@@ -26,6 +26,20 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, piece_bytes: int = 256 << 10, full_bytes: int = 32 << 20) -> DataFrame:
+    """Deal the rows of a small input out to all cores before costly work per row.
+
+    A table in one file or one row group is one task, however many cores there are.
+    Only inputs estimated below ``full_bytes`` per core are moved; larger ones already
+    come in enough splits and stay where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if df.isStreaming or size >= cores * full_bytes:
+        return df
+    return df.repartition(max(1, min(3 * cores, size // piece_bytes)))
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and continue from the written table.
 
