@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newstide.checks import bindings as b
 from newstide.checks.bindings import with_views
@@ -40,7 +40,7 @@ from newstide.sources.dimensions import read_companies_csv, read_sectors_csv
 from newstide.sources.prices import read_prices_csv, read_prices_json
 from newstide.sources.tables import StoredTable
 from newstide.streaming.arrivals import analyse_arrivals
-from newstide.workspace import fresh_path
+from newstide.workspace import fresh_path, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -193,7 +193,7 @@ _SQL_TOKENS = """list_concat(
 )
 def tokenize_articles(spark, folder):
     tokens = text.tokenize(*[F.col(f) for f in m.FIELDS])
-    return b.raw_news(spark, folder).select(
+    return spread(b.raw_news(spark, folder)).select(
         "doc_id",
         F.size(tokens).alias("n_tokens"),
         F.array_join(tokens, " ").alias("tokens"),
@@ -633,10 +633,11 @@ _WORD_LENGTHS = """SELECT doc_id, list_transform(
   lambda w: length(w)::DOUBLE) AS a FROM documents"""
 
 
-def _word_lengths() -> Column:
-    return F.transform(
-        text.tokenize(F.col("text")), lambda w: F.length(w).cast("double")
-    )
+def _length_arrays(spark, folder) -> DataFrame:
+    """Every document as a price series: the lengths of its words, 0 for an empty one."""
+    lengths = F.transform(text.tokenize(F.col("text")), lambda w: F.length(w).cast("double"))
+    documents = spread(b.table(spark, folder, "documents").select("doc_id", "text"))
+    return documents.select("doc_id", lengths.alias("a"))
 
 
 @check(
@@ -654,7 +655,7 @@ def _word_lengths() -> Column:
     FROM ends"""
 )
 def array_price_change(spark, folder):
-    arrays = b.table(spark, folder, "documents").select("doc_id", _word_lengths().alias("a"))
+    arrays = _length_arrays(spark, folder)
     stamped = arrays.withColumn(
         "stamps", F.transform("a", lambda _, i: (i + 1).cast("bigint") * 60)
     )
@@ -723,7 +724,7 @@ _QUOTES_SQL = f"""WITH arrays AS ({_WORD_LENGTHS}),
 
 def _price_documents(spark, folder) -> DataFrame:
     a = F.col("a")
-    arrays = b.table(spark, folder, "documents").select("doc_id", _word_lengths().alias("a"))
+    arrays = _length_arrays(spark, folder)
     quote = F.struct(
         a.alias("open"),
         # JSON null inside the array where there is no price.

@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
+from newstide.functions.text import keep_only
+
 
 @dataclass(frozen=True)
 class Lexicon:
@@ -41,7 +43,7 @@ def sentence_scores(text: Column, lexicon: Lexicon = ENGLISH) -> Column:
     ``confidence`` is |p - n| / (p + n) over the lexicon hits of the sentence.
     """
     # Everything but letters, digits, spaces and sentence ends goes in one pass.
-    plain = F.lower(F.regexp_replace(text, r"[^A-Za-z0-9 .!?\n]", ""))
+    plain = F.lower(keep_only(text, r"A-Za-z0-9 .!?\n"))
     sentences = F.filter(F.split(plain, r"[.!?\n]+", -1), lambda s: F.trim(s) != "")
     words = F.transform(sentences, lambda s: F.split(s, " ", -1))
     hits = F.transform(
