@@ -36,15 +36,30 @@ def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return smallest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
 
 
+_DIGEST = "_digest"
+
+
+def digests(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The digest of every row, as one column."""
+    return df.select(row_digest(df, columns).alias(_DIGEST))
+
+
+def rows_not_among(batch: DataFrame, known: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of ``batch`` whose digest of ``columns`` is not ``known``, one per digest.
+
+    Copies within the batch collapse before the shuffle; the batch then moves once,
+    and the join finds it already partitioned by digest.
+    """
+    arriving = one_per_key(batch.withColumn(_DIGEST, row_digest(batch, columns)), [_DIGEST])
+    return arriving.join(known, _DIGEST, "left_anti").select(*batch.columns)
+
+
 def new_rows(batch: DataFrame, stored: DataFrame, columns: list[str]) -> DataFrame:
     """Rows of ``batch`` whose ``columns`` occur in no stored row, one per value.
 
     NULL equals NULL. With all columns this is ``EXCEPT DISTINCT``.
     """
-    digest = "_digest"
-    known = stored.select(row_digest(stored, columns).alias(digest))
-    arriving = one_per_key(batch.withColumn(digest, row_digest(batch, columns)), [digest])
-    return arriving.join(known, digest, "left_anti").select(*batch.columns)
+    return rows_not_among(batch, digests(stored, columns), columns)
 
 
 def new_articles(batch: DataFrame, stored: DataFrame) -> DataFrame:

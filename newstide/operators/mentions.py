@@ -127,15 +127,17 @@ def _attach_matches(
     entry: Column,
     match,
     name: str,
-    entries_per_array: int,
+    bytes_per_array: int,
 ) -> DataFrame:
     """Add the array of dictionary entries matching ``_plain``.
 
-    The dictionary reaches every article as one-row frames holding at most about
-    ``entries_per_array`` entries each; their matches are united.
+    The dictionary is measured and reaches every article as one-row frames of about
+    ``bytes_per_array`` each; their matches are united.
     """
     entries = stage(entries.distinct(), name)
-    parts = max(1, -(-entries.count() // entries_per_array))
+    size = reduce(lambda a, b: a + b, [F.octet_length(c) + 16 for c in entries.columns])
+    measured = entries.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    parts = max(1, -(-measured // bytes_per_array))
     found = []
     for part in range(parts):
         column = f"_{name}_{part}"
@@ -154,7 +156,7 @@ def add_stocks_sectors_sentiment(
     names: DataFrame,
     sectors: DataFrame,
     sentiment: Column | None = None,
-    entries_per_array: int = 50_000,
+    bytes_per_array: int = 8 << 20,
 ) -> DataFrame:
     """Per article the arrays of company names and sectors its tokens contain.
 
@@ -171,7 +173,7 @@ def add_stocks_sectors_sentiment(
         F.col("companyname"),
         names_in_text,
         "stocks",
-        entries_per_array,
+        bytes_per_array,
     )
     with_sectors = _attach_matches(
         with_names,
@@ -179,7 +181,7 @@ def add_stocks_sectors_sentiment(
         F.struct("sector", "keyword"),
         sectors_in_text,
         "sectors",
-        entries_per_array,
+        bytes_per_array,
     )
     return with_sectors.select(
         "title", "unix", "time_period", "stocks", "sectors", score.alias("sentiment")

@@ -138,7 +138,7 @@ def test_a_batch_that_broke_off_is_run_again(spark, tmp_path, rows, monkeypatch)
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(job, "unseen_articles", breaks)
+        patch.setattr(job.ResultTables, "complete", breaks)
         try:
             analyse(tables, sectors, companies, more, ticks)
         except RuntimeError:

@@ -145,8 +145,8 @@ def test_array_forms(spark, rows):
     )
     names = spark.createDataFrame([("Apple",), ("Pear",), ("Tree Co",), (None,)], "companyname string")
     sectors = spark.createDataFrame([("oil",), ("apple oil",)], "Energy string")
-    for size in (1, 50_000):
-        found = add_stocks_sectors_sentiment(news, names, sectors, entries_per_array=size)
+    for size in (1, 8 << 20):
+        found = add_stocks_sectors_sentiment(news, names, sectors, bytes_per_array=size)
         assert rows(found, "title", "time_period", "stocks", "sectors", "sentiment") == [
             ("Apple tree", "2020-01", ["Apple"], ["Energy"], 0.5),
             ("nothing", None, [], [], 0.5),

@@ -18,9 +18,15 @@ def connection():
     return connect(FOLDER)
 
 
+def stays_in_the_jvm(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
+        assert operator not in plan
+
+
 @pytest.mark.parametrize("name", list(registered.queries()))
 def test_query_equals_sql(spark, connection, name):
-    problem, found, _ = compare(spark, connection, FOLDER, name)
+    problem, found, _ = compare(spark, connection, FOLDER, name, stays_in_the_jvm)
     assert problem is None, problem
     assert found > 0
 
