@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from newstide.functions.dates import add_time_period
 from newstide.functions.sentiment import Lexicon
 from newstide.session import prepare
+from newstide.workspace import spread
 
 # The sector names of the keyword table.
 SECTORS = [
@@ -99,7 +100,7 @@ def _date() -> Column:
 
 
 def raw_news(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(
+    return spread(table(spark, folder, "documents")).select(
         "doc_id",
         F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
         "text",

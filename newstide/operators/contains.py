@@ -29,7 +29,7 @@ from newstide.workspace import spread, stage
 @dataclass(frozen=True)
 class ContainsLimits:
     gram: int = 4
-    nested_loop_entries: int = 100
+    nested_loop_entries: int = 200
     broadcast_bytes: int = 64 << 20
     row_overhead_bytes: int = 120
 

@@ -70,6 +70,7 @@ def _per_sector(articles: DataFrame, keywords: DataFrame, limits: ContainsLimits
     The same text on several dates counts once per sector, under its smallest
     (time_period, date, sentiment). Copies meet by digest, not by text.
     """
+    articles = spread(articles)
     keyed = articles.select(
         *FIELDS, "time_period", "date", "sentiment", row_digest(articles, FIELDS).alias("_digest")
     )

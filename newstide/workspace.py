@@ -31,11 +31,12 @@ def spread(df: DataFrame, piece_bytes: int = 256 << 10, full_bytes: int = 32 <<
 
     A table in one file or one row group is one task, however many cores there are.
     Only inputs estimated below ``full_bytes`` per core are moved; larger ones already
-    come in enough splits and stay where they are.
+    come in enough splits and stay where they are, as do rows dealt out before.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if df.isStreaming or size >= cores * full_bytes:
+    plan = df._jdf.queryExecution().optimizedPlan()
+    size = int(plan.stats().sizeInBytes())
+    if df.isStreaming or size >= cores * full_bytes or "Repartition " in plan.toString():
         return df
     return df.repartition(max(1, min(3 * cores, size // piece_bytes)))
 
