@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -15,11 +16,12 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="newstide-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="newstide-")
+    return _local_folders[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
