@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from newstide.llm.common import read_table
+from newstide.llm.decontaminate import without_leaks
 from newstide.llm.mixing import mixed_corpus
+from newstide.llm.ngram_join import one_of_each
 from newstide.llm.quality import keep_good
 from newstide.llm.sharding import shard_digest
 from newstide.workspace import stage
@@ -20,6 +22,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_good(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents alike in 0.8 of their 5-word shingles, directly or by links, one stays."""
+    return one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain 0.8 of a benchmark item's shingles go."""
+    return without_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it."""
     return mixed_corpus(docs)
@@ -32,6 +44,8 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_copies", near_copies),
+    ("decontamination", decontamination),
     ("source_mix", source_mix),
     ("sharding", sharding),
 ]

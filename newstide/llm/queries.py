@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from newstide.llm.common import read_table
+from newstide.llm.decontaminate import leak_digest
 from newstide.llm.html_text import extract_text
 from newstide.llm.mixing import mix_digest
+from newstide.llm.ngram_join import join_digest
+from newstide.llm.pii import find_pii
 from newstide.llm.quality import quality_digest
 from newstide.llm.secret_scan import scan_secrets
 from newstide.llm.sharding import shard_digest
@@ -17,6 +20,14 @@ from newstide.llm.warc import warc_digest
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return join_digest(read_table(spark, folder, "documents"))
+
+
+def op2_weak_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return find_pii(read_table(spark, folder, "documents"))
+
+
 def op3_layout_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract_text(read_table(spark, folder, "pages"))
 
@@ -33,6 +44,10 @@ def op6_warc_members(spark: SparkSession, folder: str) -> DataFrame:
     return warc_digest(read_table(spark, folder, "pages"))
 
 
+def op7_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return leak_digest(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
 def op8_layered_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return scan_secrets(read_table(spark, folder, "documents"))
 
@@ -44,10 +59,13 @@ def op9_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op1_ngram_jaccard,
+        op2_weak_pii,
         op3_layout_text,
         op4_source_mix,
         op5_virtual_slots,
         op6_warc_members,
+        op7_benchmark_leaks,
         op8_layered_secrets,
         op9_robust_outliers,
     )
@@ -109,7 +127,59 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM first
 """
 
+LEAK_SQL = r"""
+WITH doc_words AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), w -> w <> '') AS w
+  FROM documents
+), item_words AS (
+  SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), w -> w <> '') AS w
+  FROM benchmark
+), doc_sets AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) >= 5
+    THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM doc_words
+), item_sets AS (
+  SELECT DISTINCT item_id, unnest(CASE WHEN len(w) >= 5
+    THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM item_words
+), sizes AS (
+  SELECT item_id, count(*) AS n FROM item_sets GROUP BY item_id
+), met AS (
+  SELECT doc_id, item_id, count(DISTINCT s) AS shared FROM item_sets JOIN doc_sets USING (s) GROUP BY ALL
+)
+SELECT doc_id, item_id, n::INTEGER AS item_shingles, shared::INTEGER AS shared
+FROM met JOIN sizes USING (item_id) WHERE 5 * shared >= 4 * n
+"""
+
+JOIN_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4
+    THEN [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM split
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM met JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * k >= 85 * (x.n + y.n - k)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, min(r.b) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN reach r ON r.a = d.doc_id
+GROUP BY d.doc_id, s.n
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard": JOIN_SQL,
     "op4_source_mix": MIX_SQL,
     "op6_warc_members": WARC_SQL,
+    "op7_benchmark_leaks": LEAK_SQL,
 }
