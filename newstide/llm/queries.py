@@ -15,6 +15,7 @@ from newstide.llm.pii import find_pii
 from newstide.llm.quality import quality_digest
 from newstide.llm.secret_scan import scan_secrets
 from newstide.llm.sharding import shard_digest
+from newstide.llm.suffix_dedup import repeat_digest
 from newstide.llm.warc import warc_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +57,10 @@ def op9_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return quality_digest(read_table(spark, folder, "documents"))
 
 
+def op10_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeat_digest(read_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -68,6 +73,7 @@ QUERIES: dict[str, Query] = {
         op7_benchmark_leaks,
         op8_layered_secrets,
         op9_robust_outliers,
+        op10_suffix_repeats,
     )
 }
 
@@ -129,10 +135,10 @@ FROM first
 
 LEAK_SQL = r"""
 WITH doc_words AS (
-  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), w -> w <> '') AS w
+  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
   FROM documents
 ), item_words AS (
-  SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), w -> w <> '') AS w
+  SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
   FROM benchmark
 ), doc_sets AS (
   SELECT doc_id, unnest(CASE WHEN len(w) >= 5
@@ -154,7 +160,7 @@ FROM met JOIN sizes USING (item_id) WHERE 5 * shared >= 4 * n
 JOIN_SQL = r"""
 WITH RECURSIVE split AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
   FROM documents
 ), sets AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4
@@ -177,9 +183,41 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN reach r ON r.a = d.doc_id
 GROUP BY d.doc_id, s.n
 """
 
+REPEAT_SQL = """
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), strings AS (
+  SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS s
+  FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 49)) AS i FROM bytes)
+), firsts AS (
+  SELECT s, min(doc_id) AS first FROM strings GROUP BY s
+), hits AS (
+  SELECT doc_id, i FROM strings JOIN firsts USING (s) WHERE first < doc_id
+), edges AS (
+  SELECT doc_id, i, CASE WHEN i - lag(i) OVER w <= 50 THEN 0 ELSE 1 END AS new
+  FROM hits WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), runs AS (
+  SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM edges
+), spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER w, 0) AS before, lead(a) OVER w AS next
+  FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY a)
+), removed AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+    string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a)
+      || max(CASE WHEN next IS NULL THEN substr(x, 2 * b + 1) END) AS kept
+  FROM gaps JOIN bytes USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM bytes LEFT JOIN removed USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard": JOIN_SQL,
     "op4_source_mix": MIX_SQL,
     "op6_warc_members": WARC_SQL,
     "op7_benchmark_leaks": LEAK_SQL,
+    "op10_suffix_repeats": REPEAT_SQL,
 }
