@@ -44,13 +44,3 @@ def row_batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
-
-
-def input_bytes(df: DataFrame) -> int:
-    """What the optimizer expects the input to measure; decides partition counts only."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def pieces(spark: SparkSession, size: int, each: int) -> int:
-    """Partitions of about ``each`` bytes, no fewer than the session shuffles into."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // each))

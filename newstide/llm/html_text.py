@@ -240,6 +240,17 @@ def _table(table: Node) -> Iterator[str]:
             if span == 1:
                 widths[at] = max(widths[at], *map(len, lines)) if lines else widths[at]
             at += span
+    for row in rows:  # a cell over several columns widens the last of them if it must
+        at = 0
+        for cell in row:
+            if isinstance(cell, str):
+                continue
+            lines, span = cell
+            if span > 1:
+                widths += [0] * (at + span - len(widths))
+                wide = sum(widths[at : at + span]) + 2 * (span - 1)
+                widths[at + span - 1] += max(0, max(map(len, lines), default=0) - wide)
+            at += span
     for row in rows:
         if row and isinstance(row[0], str):
             yield from row
@@ -248,7 +259,7 @@ def _table(table: Node) -> Iterator[str]:
             text, at, start = "", 0, 0
             for lines, span in row:
                 text = text.ljust(start) + (lines[i] if i < len(lines) else "")
-                start = max(start + sum(w + 2 for w in widths[at : at + span]), len(text) + 2 if span > 1 else 0)
+                start += sum(w + 2 for w in widths[at : at + span])
                 at += span
             yield text.rstrip()
 

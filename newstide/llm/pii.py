@@ -179,7 +179,7 @@ def described(span: Column, text: Column, strict: Column) -> Column:
         span["start"].alias("start"),
         span["kind"].alias("kind"),
         span["stop"].alias("stop"),
-        _vote(strict).alias("v_shape"),
+        F.when(strict, 1).otherwise(0).alias("v_shape"),
         _vote(_by_kind(span, lambda k: valid(k, body) & ~F.rlike(body, F.lit(r"^([0-9])[^0-9]*(\1[^0-9]*)+$")))).alias("v_check"),
         _by_kind(span, gazette).alias("v_gazette"),
         F.coalesce(context, F.when(F.rlike(before, F.lit(AGAINST)), -1).otherwise(0)).alias("v_context"),
@@ -291,7 +291,9 @@ def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """
     found = stage(candidates(docs, key, text), "pii-candidates")
     weights = train(found)
-    accepted = F.filter("spans", lambda s: (s["v_shape"] > 0) | (score(s, weights) > 0))
+    # The classifier decides, but never against the labelers' balance.
+    balance = lambda s: s["v_check"] + s["v_gazette"] + s["v_context"]
+    accepted = F.filter("spans", lambda s: (s["v_shape"] > 0) | ((score(s, weights) > 0) & (balance(s) > 0)))
     base = F.col("base")
     counts = [
         F.size(F.filter(base, _is_kind(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)

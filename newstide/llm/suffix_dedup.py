@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from newstide.llm.common import input_bytes, pieces
 from newstide.workspace import stage
 
 _MOD = 1 << 64
@@ -456,9 +455,6 @@ def remove_repeats(
     equal to an earlier one are settled by their digest and not searched.
     """
     spark = docs.sparkSession
-    size = input_bytes(docs)
-    parts = pieces(spark, 2 * size, 32 << 20)
-    chunks = max(2 * parts, -(-2 * size // limits.chunk_bytes))
     rows = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("doc"),
         F.coalesce(F.col(text), F.lit("")).cast("binary").alias("data"),
@@ -467,6 +463,9 @@ def remove_repeats(
         "doc", F.octet_length("data").cast("long").alias("n_bytes"), F.unhex(F.sha2("data", 256)).alias("digest")
     ).filter(F.col("n_bytes") >= limits.length)
     narrow = stage(narrow, "text-digests")
+    total = narrow.agg(F.sum("n_bytes")).first()[0] or 0
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunks = max(2 * parts, -(-total // limits.chunk_bytes))
     firsts = narrow.groupBy("digest").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     copies = stage(narrow.join(firsts, "digest").filter("doc > first").select("doc", "n_bytes", "digest"), "text-copies")
     gone = copies.select(F.col("doc").alias("c_doc"), F.col("digest").alias("c_digest")).distinct()
