@@ -40,13 +40,17 @@ _NAMES = 1 << 20  # words whose hashes a task remembers
 
 @dataclass(frozen=True)
 class JoinLimits:
-    """Similarity ``num/den``, words per shingle, size of the counter table (2**table)."""
+    """Similarity ``num/den``, words per shingle, size of the counter table (2**table).
+
+    Marks of up to ``few`` nodes are joined pair by pair, larger ones in cells of two blocks
+    of ``cell`` nodes each; both compare all pairs."""
 
     words: int = 4
     num: int = 85
     den: int = 100
     table: int = 24
-    cell: int = 2048
+    few: int = 32
+    cell: int = 1024
 
     def need(self, n: int) -> int:
         """Tokens of a set of n of which a similar set must hold at least one."""
@@ -274,29 +278,13 @@ def sizes_fit(limits: JoinLimits, a: str, b: str):
     return F.least(a, b) * limits.den >= F.greatest(a, b) * limits.num
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, limits: JoinLimits) -> DataFrame:
-    """The pairs (a, b) that are similar indeed.
+def candidate_sets(wanted: DataFrame, docs: DataFrame, key: str, text: str, limits: JoinLimits) -> DataFrame:
+    """(node, tokens) of the wanted nodes, built again from the texts.
 
-    Histograms bound the overlap and dismiss most false candidates; for the rest the sets
-    are built again from the texts, which a bitmap of fixed size over the ids picks out.
+    A bitmap of fixed size over the ids picks the texts out where they are read; what it
+    lets through by chance goes in the join.
     """
-    hists = nodes.select("node", "n", "hist")
-    left, right = (hists.select(*[F.col(c).alias(f"{c}_{s}") for c in hists.columns]) for s in "ab")
-    met = pairs.join(left, F.col("a") == F.col("node_a")).join(right, F.col("b") == F.col("node_b"))
-    met = met.select("a", "b", "n_a", "n_b", "hist_a", "hist_b")
-
-    def enough(n_a: int, n_b: int, overlap: int) -> bool:
-        return limits.den * overlap >= limits.num * (n_a + n_b - overlap)
-
-    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            use = [enough(n, m, overlap_bound(x, y)) for n, m, x, y in zip(*columns[2:])]
-            yield batch.select(["a", "b"]).filter(pa.array(use, pa.bool_()))
-
-    likely = stage(met.mapInArrow(bound, "a long, b long"), "likely-pairs")
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    bits = 23
+    wanted, bits = wanted.distinct(), 23
     spot = F.pmod(F.xxhash64("node"), F.lit(1 << bits))
     chunks = (
         wanted.groupBy(F.bitmap_bucket_number(spot).alias("bucket"))
@@ -318,7 +306,32 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text
         "node", F.bitmap_bucket_number(spot).alias("bucket"), F.bitmap_bit_position(spot).alias("place"), text
     )
     sets = at.mapInArrow(build, "node long, tokens binary").join(wanted, "node").dropDuplicates(["node", "tokens"])
-    sets = stage(sets, "candidate-sets")
+    return stage(sets, "candidate-sets")
+
+
+def enough(limits: JoinLimits, n_a: int, n_b: int, overlap: int) -> bool:
+    return limits.den * overlap >= limits.num * (n_a + n_b - overlap)
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, limits: JoinLimits) -> DataFrame:
+    """The pairs (a, b) that are similar indeed.
+
+    Histograms bound the overlap and dismiss most false candidates; for the rest whole sets
+    are compared.
+    """
+    hists = nodes.select("node", "n", "hist")
+    left, right = (hists.select(*[F.col(c).alias(f"{c}_{s}") for c in hists.columns]) for s in "ab")
+    met = pairs.join(left, F.col("a") == F.col("node_a")).join(right, F.col("b") == F.col("node_b"))
+    met = met.select("a", "b", "n_a", "n_b", "hist_a", "hist_b")
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            use = [enough(limits, n, m, overlap_bound(x, y)) for n, m, x, y in zip(*columns[2:])]
+            yield batch.select(["a", "b"]).filter(pa.array(use, pa.bool_()))
+
+    likely = stage(met.mapInArrow(bound, "a long, b long"), "likely-pairs")
+    sets = candidate_sets(likely.select(F.explode(F.array("a", "b")).alias("node")), docs, key, text, limits)
     left, right = (sets.select(F.col("node").alias(f"node_{s}"), F.col("tokens").alias(f"tokens_{s}")) for s in "ab")
     whole = likely.join(left, F.col("a") == F.col("node_a")).join(right, F.col("b") == F.col("node_b"))
 
@@ -327,7 +340,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text
             use = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                use.append(enough(len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))))
+                use.append(enough(limits, len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))))
             yield batch.select(["a", "b"]).filter(pa.array(use, pa.bool_()))
 
     return stage(
@@ -348,37 +361,112 @@ def first_pairs(marks: DataFrame, limits: JoinLimits) -> DataFrame:
     ).distinct()
 
 
-def other_pairs(marks: DataFrame, known: DataFrame, limits: JoinLimits) -> DataFrame:
-    """All pairs that share a mark and are not in the same component yet.
-
-    A mark's nodes are split into blocks of about ``cell`` nodes, and every two blocks meet
-    in a cell of their own, so no task holds more than two blocks of a mark.
-    """
-    placed = marks.join(known, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    open_marks = (
+def open_marks(marks: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of marks whose nodes are not all in one component yet, with component c."""
+    placed = marks.join(known, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+    unsettled = (
         placed.groupBy("mark")
         .agg(F.count(F.lit(1)).alias("size"), F.min("c").alias("least"), F.max("c").alias("most"))
         .filter("least <> most")
-        .select("mark", F.ceil(F.col("size") / limits.cell).cast("int").alias("blocks"))
+        .select("mark", "size")
     )
-    block = F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")
-    cells = placed.join(open_marks, "mark").withColumn("block", block)
-    cells = cells.select(
-        "mark", "node", "n", "c", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).select(
-        "mark", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n", "c"
-    )
-    one = cells.select("mark", "i", "j", *[F.col(x).alias(f"{x}_1") for x in ("block", "node", "n", "c")])
-    two = cells.select("mark", "i", "j", *[F.col(x).alias(f"{x}_2") for x in ("block", "node", "n", "c")])
+    return stage(placed.join(unsettled, "mark"), "open-marks")
+
+
+def other_pairs(rows: DataFrame, limits: JoinLimits) -> DataFrame:
+    """All pairs that share a mark of few nodes and are in different components."""
+    one = rows.select("mark", *[F.col(x).alias(f"{x}_1") for x in ("node", "n", "c")])
+    two = rows.select("mark", *[F.col(x).alias(f"{x}_2") for x in ("node", "n", "c")])
     return (
-        one.join(two, ["mark", "i", "j"])
-        .filter("node_1 < node_2 AND c_1 <> c_2 AND (i = j OR block_1 <> block_2)")
+        one.join(two, "mark")
+        .filter("node_1 < node_2 AND c_1 <> c_2")
         .filter(sizes_fit(limits, "n_1", "n_2"))
         .select(F.col("node_1").alias("a"), F.col("node_2").alias("b"))
         .distinct()
     )
 
 
+def shared_tokens(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of all pairwise intersections, by products of 0/1 matrices, some columns at a time."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = times > 1
+    number = np.cumsum(common) - 1
+    use = common[token]
+    token, owner = number[token[use]], owner[use]
+    total = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(token, kind="stable")
+    token, owner = token[order], owner[order]
+    for first in range(0, int(common.sum()), columns):
+        part = slice(*np.searchsorted(token, [first, first + columns]))
+        matrix = np.zeros((len(sets), columns), np.float32)
+        matrix[owner[part], token[part] - first] = 1
+        total += matrix @ matrix.T
+    return total.astype(np.int64)
+
+
+def cell_links(rows: DataFrame, docs: DataFrame, key: str, text: str, limits: JoinLimits) -> DataFrame:
+    """Links (a, b) that connect what is similar among the nodes of marks with many nodes.
+
+    A mark's nodes are split into blocks of about ``cell`` nodes, and every two blocks meet
+    in a cell of their own, with their sets: no task holds more than two blocks, and all
+    pairs are compared inside, none is made a row. A cell gives each node it has connected a
+    link to one node of the same component.
+    """
+    sets = candidate_sets(rows.select("node"), docs, key, text, limits)
+    blocks = F.ceil(F.col("size") / limits.cell).cast("int")
+    cells = rows.select("mark", "node", "c", blocks.alias("blocks"))
+    cells = cells.withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.select(
+        "mark", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "c"
+    ).join(sets, "node")
+    cells = cells.select("mark", "i", "j", "block", "node", "c", "tokens")
+
+    def links(held: list[tuple]) -> list[tuple[int, int]]:
+        _, i, j, block, node, c, tokens = (np.array(x, object) for x in zip(*held))
+        found = [np.frombuffer(t, np.uint64) for t in tokens]
+        size = np.array([len(x) for x in found])
+        inter = shared_tokens(found)
+        near = limits.den * inter >= limits.num * (size[:, None] + size - inter)
+        if i[0] != j[0]:
+            near &= block[:, None] != block
+        _, first, label = np.unique(c.astype(np.int64), return_index=True, return_inverse=True)
+        a, b = np.nonzero(near)
+        known = label
+        while True:
+            lower = known.copy()
+            np.minimum.at(lower, a, known[b])
+            root = np.full(len(first), len(first))
+            np.minimum.at(root, label, lower)  # nodes of one component move together
+            lower = np.minimum(lower, root[label])
+            if (lower == known).all():
+                break
+            known = lower
+        moved = np.flatnonzero(known != label)
+        return [(int(node[x]), int(node[first[known[x]]])) for x in moved]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in row_batches(batches):
+            out = []
+            for row in zip(*[c.to_pylist() for c in batch.columns]):
+                if held and held[-1][:3] != row[:3]:
+                    out += links(held)
+                    held = []
+                held.append(row)
+            yield _pairs(out)
+        yield _pairs(links(held) if held else [])
+
+    placed = cells.repartition("mark", "i", "j").sortWithinPartitions("mark", "i", "j")
+    return stage(placed.mapInArrow(compare, "a long, b long"), "cell-links")
+
+
+def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*rows) if rows else ([], [])
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (list(a), list(b))], ["a", "b"])
+
+
 def similar_groups(
     docs: DataFrame, key: str = "doc_id", text: str = "text", limits: JoinLimits = JoinLimits()
 ) -> DataFrame:
@@ -403,9 +491,11 @@ def similar_groups(
     first = stage(first_pairs(marks, limits), "first-pairs")
     links = verified(first, nodes, docs, key, text, limits)
     known = components(links)
-    rest = other_pairs(marks, known, limits).join(first, ["a", "b"], "left_anti")
-    more = verified(rest, nodes, docs, key, text, limits)
-    final = components(links.union(more), "all-links")
+    rest = open_marks(marks, known)
+    few = other_pairs(rest.filter(F.col("size") <= limits.few), limits).join(first, ["a", "b"], "left_anti")
+    more = verified(few, nodes, docs, key, text, limits)
+    many = cell_links(rest.filter(F.col("size") > limits.few), docs, key, text, limits)
+    final = components(links.union(more).union(many), "all-links")
     named = sets.select("doc", "n", "digest").join(nodes.select("digest", "node"), "digest", "left")
     named = named.join(final, "node", "left").select(
         "doc", "n", F.coalesce("component", "node", "doc").alias("component_id")
