@@ -200,8 +200,12 @@ def _suffixes(data: np.ndarray, repeated: np.ndarray, powers: Powers, limits: Re
     at, marks, masks = at[use], marks[use], masks[use]
     padded = np.zeros(len(data) + w - 1 + limits.length, np.uint8)
     padded[w - 1 : w - 1 + len(data)] = data
-    around = np.lib.stride_tricks.sliding_window_view(padded, w - 1 + limits.length)
-    return at, marks, masks, around[at]
+    bodies = np.lib.stride_tricks.sliding_window_view(padded, w - 1 + limits.length)[at]
+    # Only what the strings of the mask cover is sent; the rest is blank and packs to nothing.
+    inside, column = inside[use], np.arange(w - 1 + limits.length)
+    farthest, nearest = w - 1 - inside[:, ::-1].argmax(1), inside.argmax(1)
+    covered = (column >= w - 1 - farthest[:, None]) & (column < w - 1 - nearest[:, None] + limits.length)
+    return at, marks, masks, np.where(covered, bodies, np.uint8(0))
 
 
 def _whole_strings(at, masks, bodies, limits: RepeatLimits, powers: Powers):
@@ -215,6 +219,15 @@ def _whole_strings(at, masks, bodies, limits: RepeatLimits, powers: Powers):
     return at[row] - back, stirred(prefix_hashes(whole, powers)[:, -1]), np.ones(len(row), np.uint64), body
 
 
+def _packed(rows: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(rows).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, rows: int, width: int) -> np.ndarray:
+    plain = pa.decompress(data, decompressed_size=rows * width, codec="zstd", asbytes=True)
+    return np.frombuffer(plain, np.uint8).reshape(rows, width)
+
+
 def chunk_suffixes(limits: RepeatLimits, buckets: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table, told: pa.Table) -> pa.Table:
         chunk, powers = key[0].as_py(), Powers()
@@ -253,7 +266,7 @@ def chunk_suffixes(limits: RepeatLimits, buckets: int):
         for b, s in _split(bucket):
             i = sent[s]
             rows.append(
-                (b, chunk, marks[i].tobytes(), bodies[i].tobytes(), masks[i].tobytes(), docs[i].tobytes(), at[i].astype("<i4").tobytes())
+                (b, chunk, marks[i].tobytes(), _packed(bodies[i]), masks[i].tobytes(), docs[i].tobytes(), at[i].astype("<i4").tobytes())
             )
         return _blobs(_SUFFIXES, rows)
 
@@ -379,7 +392,7 @@ def bucket_suffixes(limits: RepeatLimits, block: int = 40_000):
             marks = np.frombuffer(row["marks"], np.uint64)
             parts.append(
                 (
-                    np.full(len(marks), row["chunk"]), marks, np.frombuffer(row["bodies"], np.uint8).reshape(-1, wide),
+                    np.full(len(marks), row["chunk"]), marks, _unpacked(row["bodies"], len(marks), wide),
                     np.frombuffer(row["masks"], np.uint64), np.frombuffer(row["docs"], np.int64),
                     np.frombuffer(row["places"], "<i4"),
                 )
@@ -460,18 +473,27 @@ def remove_repeats(
         F.coalesce(F.col(text), F.lit("")).cast("binary").alias("data"),
     )
     narrow = rows.select(
-        "doc", F.octet_length("data").cast("long").alias("n_bytes"), F.unhex(F.sha2("data", 256)).alias("digest")
+        "doc", F.octet_length("data").cast("long").alias("n_bytes"), F.unhex(F.sha2("data", 256)).alias("digest"),
+        F.xxhash64("data").alias("code"),
     ).filter(F.col("n_bytes") >= limits.length)
     narrow = stage(narrow, "text-digests")
     total = narrow.agg(F.sum("n_bytes")).first()[0] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks = max(2 * parts, -(-total // limits.chunk_bytes))
     firsts = narrow.groupBy("digest").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    copies = stage(narrow.join(firsts, "digest").filter("doc > first").select("doc", "n_bytes", "digest"), "text-copies")
-    gone = copies.select(F.col("doc").alias("c_doc"), F.col("digest").alias("c_digest")).distinct()
-    same = (F.col("doc") == F.col("c_doc")) & (F.unhex(F.sha2("data", 256)) == F.col("c_digest"))
-    fresh = rows.join(stage(gone, "text-copy-ids"), same, "left_anti")
-    fresh = fresh.withColumn("chunk", F.pmod(F.xxhash64("doc"), F.lit(chunks)).cast("int")).select("chunk", "doc", "data")
+    copies = narrow.join(firsts, "digest").filter("doc > first").select("doc", "n_bytes", "code")
+    copies = stage(copies, "text-copies")
+    chunk = F.pmod(F.xxhash64("doc"), F.lit(chunks)).cast("int")
+    gone = copies.select("doc", "code").distinct().select(
+        chunk.alias("c_chunk"), F.col("doc").alias("c_doc"), F.col("code").alias("c_code")
+    )
+    # The chunk is the only key Spark may join by: documents then move by chunk once, for
+    # this join and everything below. Within a chunk, few rows are compared.
+    same = F.col("chunk") == F.col("c_chunk")
+    for a, b in (("doc", "c_doc"), ("code", "c_code")):
+        same &= (F.col(a) <= F.col(b)) & (F.col(a) >= F.col(b))
+    fresh = rows.select(chunk.alias("chunk"), "doc", F.xxhash64("data").alias("code"), "data")
+    fresh = fresh.join(gone, same, "left_anti").select("chunk", "doc", "data")
 
     by_chunk = fresh.groupBy("chunk")
     marks = by_chunk.applyInArrow(chunk_anchors(limits, chunks), _ddl(_ANCHORS))
