@@ -4,23 +4,23 @@ The straightforward forms use row-at-a-time Python functions, whole groups colle
 into lists, one scan per sector, and conditionless joins with the text lower-cased per
 pair. Both forms read the same tables and their row counts are compared.
 
-    python baseline.py [folder]
+    python baseline.py [folder [query ...]]
 """
 
 from __future__ import annotations
 
 import json
+import re
 import sys
 import time
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from newstide import build_session
 from newstide.checks import bindings as b
 from newstide.functions.dates import add_time_period
-from newstide.functions.sentiment import sentence_scores
 from newstide.functions.text import article_text, clean_company_name
 from newstide.operators import mentions as m
 from newstide.operators.prices import company_dimension, join_companies, monthly_price_change
@@ -61,17 +61,19 @@ def own_dates(spark, folder):
     return add_time_period(b.raw_news(spark, folder)).select("doc_id", "unix", "time_period")
 
 
+def month_of_symbol(ticks):
+    """The ticks of one symbol and month as a pandas frame, in Python to one row or none."""
+    pairs = ticks[["timestamp", "close"]].drop_duplicates().to_dict("records")
+    change = change_in_python(pairs)
+    keys = ticks[["time_period", "symbol", "category"]].head(1)
+    return keys.assign(change=change) if change is not None else keys.iloc[:0].assign(change=0.0)
+
+
 def plain_prices(spark, folder):
-    month = F.udf(month_in_python, T.StringType())
-    change = F.udf(change_in_python, T.DoubleType())
-    joined = join_companies(b.ticks(spark, folder), b.companies(spark, folder))
-    return (
-        joined.filter(F.col("close") > 0)
-        .withColumn("time_period", month("timestamp"))
-        .orderBy("symbol", "time_period")
-        .groupBy("time_period", "symbol", "category")
-        .agg(change(F.collect_list(F.struct("timestamp", "close"))).alias("change"))
-        .filter(F.col("change").isNotNull())
+    months = join_companies(b.ticks(spark, folder), b.companies(spark, folder)).filter("close > 0")
+    months = months.withColumn("time_period", F.udf(month_in_python)("timestamp"))
+    return months.groupBy("symbol", "category", "time_period").applyInPandas(
+        month_of_symbol, "time_period string, symbol string, category string, change double"
     )
 
 
@@ -86,20 +88,13 @@ def held(column):
 
 
 def plain_sectors(spark, folder):
-    news, sectors = b.news(spark, folder), b.sectors(spark, folder)
-
-    def one(sector):
-        found = news.crossJoin(sectors.select(F.col(f"`{sector}`").alias("keyword")))
-        return (
-            found.filter(held(F.col("keyword")))
-            .dropDuplicates(m.FIELDS)
-            .groupBy(F.lit(sector).alias("sector"), "time_period")
-            .agg(F.count(F.lit(1)).alias("n"), F.avg("sentiment").alias("sentiment"))
-        )
-
-    # The months of copies are arbitrary here, so only the sectors are compared.
-    every = reduce(lambda left, right: left.union(right), [one(s) for s in b.SECTORS])
-    return every.groupBy("sector").agg(F.sum("n").alias("n"))
+    """One pass over the articles per keyword, then distinct texts per sector."""
+    news = b.news(spark, folder)
+    found = [
+        news.filter(held(F.lit(row.keyword))).select(F.lit(row.sector).alias("sector"), *m.FIELDS)
+        for row in m.sector_keywords(b.sectors(spark, folder)).collect()
+    ]
+    return reduce(DataFrame.unionAll, found).distinct().groupBy("sector").agg(F.count(F.lit(1)).alias("n"))
 
 
 def own_sectors(spark, folder):
@@ -126,17 +121,24 @@ def own_stocks(spark, folder):
     return m.stock_mentions(b.news(spark, folder), companies(spark, folder))
 
 
+def sentiment_in_python(text):
+    """Sign and confidence of the sentence with the clearest words, the first of several."""
+    best, sign = -1.0, 0
+    for sentence in re.split(r"[.!?\n]+", re.sub(r"[^A-Za-z0-9 .!?\n]", "", text or "").lower()):
+        if sentence.strip():
+            words = sentence.split(" ")
+            good = sum(w in b.LEXICON.positive for w in words)
+            bad = sum(w in b.LEXICON.negative for w in words)
+            clear = abs(good - bad) / (good + bad) if good + bad else 0.0
+            if clear > best:
+                best, sign = clear, (good > bad) - (good < bad)
+    return sign * best if best >= 0 else None
+
+
 def plain_sentiment(spark, folder):
     text = article_text(*[F.col(f) for f in m.FIELDS])
-    numbered = b.raw_news(spark, folder).withColumn("id", F.monotonically_increasing_id())
-    best = (
-        numbered.select("id", F.explode(sentence_scores(text, b.LEXICON)).alias("s"))
-        .select("id", "s.result", "s.confidence")
-        .orderBy(F.col("confidence").desc())
-        .groupBy("id")
-        .agg(F.first("result").alias("result"), F.first("confidence").alias("confidence"))
-    )
-    return numbered.select("id", *m.FIELDS, "date").join(best, "id")
+    scored = F.udf(sentiment_in_python, T.DoubleType())(text)
+    return b.raw_news(spark, folder).select(*m.FIELDS, "date", scored.alias("sentiment"))
 
 
 def own_sentiment(spark, folder):
@@ -172,7 +174,8 @@ def main():
     )
     spark.sparkContext.setLogLevel("ERROR")
     timed(own_prices, spark, folder)  # warm up the JVM
-    for name, (plain, own) in PAIRS.items():
+    for name in sys.argv[2:] or PAIRS:
+        plain, own = PAIRS[name]
         own_rows, own_seconds = timed(own, spark, folder)
         plain_rows, plain_seconds = timed(plain, spark, folder)
         result = {

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from newstide.functions.dates import add_time_period
 from newstide.functions.sentiment import Lexicon
 from newstide.session import prepare
+from newstide.functions.text import LEGAL_FORMS
 from newstide.workspace import spread
 
 # The sector names of the keyword table.
@@ -46,7 +47,7 @@ def _sql_list(values) -> str:
 
 
 def ticks(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "lineitem").select(
+    return spread(table(spark, folder, "lineitem")).select(
         F.unix_timestamp("l_shipdate").alias("timestamp"),
         F.col("l_suppkey").cast("string").alias("stockname"),
         F.col("l_extendedprice").alias("close"),
@@ -160,9 +161,9 @@ def sectors(spark: SparkSession, folder: str) -> DataFrame:
 # --- the same as SQL ----------------------------------------------------------------
 
 _CLEAN = "\n".join(
-    f"WHEN contains(lower(companyname), '{p.lower()}')"
-    f" THEN trim(regexp_replace(companyname, '{p}', '', 'g'))"
-    for p in ["Inc.", "Incorporated", "Corp.", "Corporation", "Ltd.", "Limited"]
+    f"WHEN contains(lower(companyname), '{mark}')"
+    f" THEN trim(regexp_replace(companyname, '{pattern}', '', 'g'))"
+    for mark, pattern in LEGAL_FORMS
 )
 
 PARSED_DATE = """epoch(COALESCE(

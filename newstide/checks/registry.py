@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -33,9 +34,10 @@ from newstide.operators.prices import (
 from newstide.operators.scoring import add_sentiment
 from newstide.plans.analyse import ResultTables, analyse
 from newstide.plans.export import export_tables
-from newstide.schemas import ARTICLE_COLUMNS, RAW_TICKS
+from newstide.schemas import ARTICLE_COLUMNS, RAW_ARTICLES, RAW_TICKS
 from newstide.sources import sinks
 from newstide.sources.articles import read_articles_csv, read_articles_json, read_scored_articles
+from newstide.sources.corrupt import corrupt_records
 from newstide.sources.dimensions import read_companies_csv, read_sectors_csv
 from newstide.sources.prices import read_prices_csv, read_prices_json
 from newstide.sources.tables import StoredTable
@@ -262,16 +264,14 @@ def sector_mentions(spark, folder):
     with_views(
         ["raw_news", "news", "keywords"],
         """SELECT sector, time_period, number_of_articles, round(sentiment, 6) AS sentiment
-           FROM found WHERE sector IN ('Health Care', 'Energy')""",
+           FROM found""",
         b.sector_counts("news", "found"),
     )
 )
 def single_sector_union(spark, folder):
     articles, keywords = b.news(spark, folder), b.sectors(spark, folder)
-    found = m.search_for_sector(articles, keywords, "Health Care").union(
-        m.search_for_sector(articles, keywords, "Energy")
-    )
-    return _rounded(found, "sentiment")
+    found = [m.search_for_sector(articles, keywords, sector) for sector in b.SECTORS]
+    return _rounded(reduce(DataFrame.union, found), "sentiment")
 
 
 _PAIRS_SQL = with_views(
@@ -377,7 +377,7 @@ def sector_totals(spark, folder):
          AS product_sign,
          CASE WHEN s > 0 AND p > 0 THEN 1.0 WHEN s < 0 AND p < 0 THEN -1.0 ELSE 0.0 END AS agreement
        FROM (SELECT event_id, value - 20 AS p FROM events) e
-       JOIN (SELECT doc_id, CASE WHEN quality IS NOT NULL THEN quality - toxic - 0.5 END AS s
+       LEFT JOIN (SELECT doc_id, CASE WHEN quality IS NOT NULL THEN quality - toxic - 0.5 END AS s
              FROM documents LEFT JOIN labels USING (doc_id)) d ON d.doc_id = e.event_id"""
 )
 def sign_functions(spark, folder):
@@ -386,7 +386,7 @@ def sign_functions(spark, folder):
     )
     s = F.col("quality") - F.col("toxic") - F.lit(0.5)
     p = F.col("value") - 20
-    joined = b.table(spark, folder, "events").join(labels, F.col("doc_id") == F.col("event_id"))
+    joined = b.table(spark, folder, "events").join(labels, F.col("doc_id") == F.col("event_id"), "left")
     return joined.select(
         "event_id", "doc_id", product_sign(s, p).alias("product_sign"),
         sign_agreement(s, p).alias("agreement"),
@@ -704,6 +704,28 @@ def article_json_source(spark, folder):
     return read_articles_json(spark, path, multi_line=False)
 
 
+@check(_TEN_SQL)
+def article_array_source(spark, folder):
+    """Files that hold one array of articles each."""
+    path = fresh_path(spark, "articles-array")
+    rows = F.to_json(F.collect_list(F.struct("*")), {"ignoreNullFields": "false"})
+    hundred = F.floor(F.col("stock").cast("long") / 100)
+    _ten_columns(spark, folder).groupBy(hundred).agg(rows.alias("value")).select("value").write.text(path)
+    return read_articles_json(spark, path)
+
+
+@check("SELECT doc_id % 10 = 0 AS corrupt, count(*) AS n FROM documents GROUP BY ALL")
+def corrupt_records_counted(spark, folder):
+    """Every tenth line is cut off; good rows and corrupt ones are both counted."""
+    path = fresh_path(spark, "articles-cut")
+    line = F.to_json(F.struct(F.col("doc_id").cast("string").alias("title"), "text"))
+    cut = F.when(F.col("doc_id") % 10 == 0, F.substring(line, 1, 12)).otherwise(line)
+    spread(b.table(spark, folder, "documents")).select(cut.alias("value")).write.text(path)
+    good = read_articles_json(spark, path, multi_line=False).select(F.lit(False).alias("corrupt"))
+    bad = corrupt_records(spark, path, RAW_ARTICLES, multi_line=False).select(F.lit(True).alias("corrupt"))
+    return good.union(bad).groupBy("corrupt").agg(F.count(F.lit(1)).alias("n"))
+
+
 @check(_TEN_SQL)
 def article_csv_roundtrip(spark, folder):
     path = fresh_path(spark, "articles-csv")
@@ -838,6 +860,62 @@ def two_batch_stock_months(spark, folder):
     return _rounded(tables.current()["stock_corr"], *_MONTH_VALUES)
 
 
+class _Lost(ResultTables):
+    """Tables of a run that is lost after everything but the last step."""
+
+    def complete(self, *_):
+        raise RuntimeError("lost")
+
+
+@check(
+    "WITH "
+    + ",\n".join(
+        [_JOB_VIEWS[v] for v in _PRICE_VIEWS + ["needles"] + _BATCH_VIEWS]
+        + _STOCK_BATCHES
+        + [_MERGED_STOCKS]
+    )
+    + f"\nSELECT {_STOCK_OUT} FROM merged"
+)
+def restarted_stock_months(spark, folder):
+    root = fresh_path(spark, "results")
+    tables = ResultTables(spark, root)
+    sectors, companies, ticks = b.sectors(spark, folder), b.companies(spark, folder), b.ticks(spark, folder)
+    analyse(tables, sectors, companies, b.first_batch(spark, folder), ticks)
+    try:
+        analyse(_Lost(spark, root), sectors, companies, b.full_delivery(spark, folder))
+    except RuntimeError:
+        pass
+    analyse(tables, sectors, companies, ticks=ticks)
+    analyse(tables, sectors, companies, b.full_delivery(spark, folder))
+    return _rounded(tables.current()["stock_corr"], *_MONTH_VALUES)
+
+
+_DOUBLED = f"""doubled AS (
+  SELECT {', '.join(b.NEWS_COLUMNS)} FROM news UNION
+  SELECT {', '.join("coalesce(short_description, '') || ' again'" if c == "short_description" else c
+                    for c in b.NEWS_COLUMNS)} FROM news)"""
+
+
+@check(
+    "WITH "
+    + ",\n".join(
+        [_JOB_VIEWS[v] for v in _PRICE_VIEWS + ["needles", "raw_news", "news"]]
+        + [_DOUBLED, b.months_of_stocks("doubled", "months")]
+    )
+    + f"\nSELECT {_STOCK_OUT} FROM months"
+)
+def redelivered_stock_months(spark, folder):
+    tables = ResultTables(spark, fresh_path(spark, "results"))
+    sectors, companies = b.sectors(spark, folder), b.companies(spark, folder)
+    news = b.full_delivery(spark, folder)
+    again = F.concat(F.coalesce("short_description", F.lit("")), F.lit(" again"))
+    delivery = news.union(news.withColumn("short_description", again))
+    analyse(tables, sectors, companies, delivery, b.ticks(spark, folder))
+    for _ in range(2):
+        analyse(tables, sectors, companies, delivery)
+    return _rounded(tables.current()["stock_corr"], *_MONTH_VALUES)
+
+
 @check(_SECTOR_MERGE_SQL)
 def two_batch_sector_export(spark, folder):
     tables = _two_batches(spark, folder)

@@ -55,13 +55,6 @@ def clean_company_name_strict(name: Column) -> Column:
     return F.trim(F.regexp_replace(name, rf"(?i)[\s,]+(?:{'|'.join(words)})\.?\s*$", ""))
 
 
-def any_contains(fields: list[Column], needle: Column) -> Column:
-    """Whether any field holds ``needle``, ignoring case; a NULL field holds nothing."""
-    wanted = F.lower(needle)
-    tests = [F.coalesce(F.lower(field).contains(wanted), F.lit(False)) for field in fields]
-    return reduce(lambda left, right: left | right, tests)
-
-
 def keep_only(text: Column, characters: str) -> Column:
     """``text`` reduced to a character class.
 

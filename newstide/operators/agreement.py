@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from newstide.functions.agreement import sign_agreement
+from newstide.workspace import stage
 
 
 def _with_agreement(df: DataFrame) -> DataFrame:
@@ -39,7 +40,9 @@ def sector_agreement(
     if sector_price != "per_symbol":
         raise ValueError(f"sector_price is 'per_symbol' or 'avg', not {sector_price!r}")
     # A left join keeps a crowded category on its right side, which cannot be split.
-    # As an inner join plus the months without a price, either side can be.
+    # As an inner join plus the months without a price, either side can be. The mentions, a
+    # row per sector and month, are used twice and therefore written once.
+    mentions = stage(mentions, "sector-mentions")
     matched = change.join(mentions, keys).select(*mentions.columns, "stock_price_change")
     unmatched = mentions.join(change.select(*keys).distinct(), keys, "left_anti").select(
         *mentions.columns, F.lit(None).cast("double").alias("stock_price_change")

@@ -20,7 +20,9 @@ def row_digest(df: DataFrame, columns: list[str]) -> Column:
     Joining or grouping on the 32 bytes stands in for comparing whole articles, so
     the text of stored rows is never shuffled.
     """
-    return F.unhex(F.sha2(F.concat(*[_spelled(df, c) for c in columns]), 256))
+    digest = F.unhex(F.sha2(F.concat(*[_spelled(df, c) for c in columns]), 256))
+    # Never NULL, which the optimizer cannot know by itself: it would hash twice to test it.
+    return F.coalesce(digest, F.lit(b""))
 
 
 def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newstide.functions.dates import month_number, month_of_epoch
 from newstide.functions.numbers import relative_change
 from newstide.operators.keys import one_per_key
-from newstide.workspace import spread
 
 
 def company_dimension(companies: DataFrame) -> DataFrame:
@@ -41,7 +40,7 @@ def _first_and_last(ticks: DataFrame, keys: list[str], *extra: Column) -> DataFr
     """
     tick = F.struct(F.col("timestamp").alias("ts"), F.col("close").alias("px"))
     return (
-        spread(ticks)
+        ticks
         .filter(_usable(F.col("close")) & F.col("timestamp").isNotNull())
         .groupBy(month_number(F.col("timestamp")).alias("_month"), *keys)
         .agg(F.min(tick).alias("lo"), F.max(tick).alias("hi"), *extra)

@@ -14,7 +14,6 @@ from newstide.functions.sentiment import (
     strongest,
 )
 from newstide.functions.text import article_text
-from newstide.workspace import spread
 
 
 def add_sentiment(
@@ -36,7 +35,7 @@ def add_sentiment(
     # Exploding the one value makes it a computed column; a filter on a plain alias
     # would be pushed below and score the text a second time.
     return (
-        spread(articles)
+        articles
         .select(*keep, F.explode_outer(F.array(strongest(scores))).alias("_best"))
         .filter(F.col("_best").isNotNull())
         .select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from newstide.schemas import ARTICLE_COLUMNS, RAW_ARTICLES, SCORED_ARTICLES
+from newstide.sources.corrupt import good_rows, with_corrupt
 from newstide.sources.optional import or_none
 
 
@@ -15,10 +16,11 @@ def read_articles_json(
 
     ``multi_line`` reads files that hold one array of objects, each file in one task.
     For large inputs write one object per line and pass ``False``: such files split.
-    Lists (authors, for instance) arrive as their JSON text.
+    Lists (authors, for instance) arrive as their JSON text. What is no JSON object is not
+    an article: :func:`corrupt_records` gives it instead.
     """
-    reader = spark.read.schema(RAW_ARTICLES).option("multiLine", multi_line)
-    return reader.json(path).select(*ARTICLE_COLUMNS)
+    rows = with_corrupt(spark, path, RAW_ARTICLES, multi_line)
+    return good_rows(rows, RAW_ARTICLES).select(*ARTICLE_COLUMNS)
 
 
 def read_articles_csv(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from newstide.functions.numbers import double_or_zero, long_or_zero
 from newstide.schemas import RAW_TICKS
+from newstide.sources.corrupt import good_rows, with_corrupt
 from newstide.sources.optional import or_none
 
 SERIES = ["timestamp", "open", "close", "volume", "high", "low"]
@@ -88,9 +89,14 @@ def read_prices_json(
     layout: PriceLayout = PriceLayout(),
     multi_line: bool = True,
 ) -> DataFrame:
-    """Ticks of JSON price documents: one per file, or one per line if not ``multi_line``."""
-    reader = spark.read.schema(price_schema(layout)).option("multiLine", multi_line)
-    return ticks_from_json_rows(reader.json(path), layout)
+    """Ticks of JSON price documents: one per file, or one per line if not ``multi_line``.
+
+    Documents that cannot be parsed give no ticks; ``corrupt_records`` with
+    :func:`price_schema` gives them.
+    """
+    schema = price_schema(layout)
+    rows = with_corrupt(spark, path, schema, multi_line)
+    return ticks_from_json_rows(good_rows(rows, schema), layout)
 
 
 def read_prices_csv(spark: SparkSession, path: str | list[str]) -> DataFrame | None:

@@ -28,19 +28,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, piece_bytes: int = 256 << 10, full_bytes: int = 32 << 20) -> DataFrame:
-    """Deal the rows of a small input out to all cores before costly work per row.
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal out a table that comes as fewer splits than there are cores.
 
-    A table in one file or one row group is one task, however many cores there are.
-    Only inputs estimated below ``full_bytes`` per core are moved; larger ones already
-    come in enough splits and stay where they are, as do rows dealt out before.
+    For tables just read, where the number of splits is known without running anything: a
+    table in one row group is one task, however many cores there are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    plan = df._jdf.queryExecution().optimizedPlan()
-    size = int(plan.stats().sizeInBytes())
-    if df.isStreaming or size >= cores * full_bytes or "Repartition " in plan.toString():
-        return df
-    return df.repartition(max(1, min(3 * cores, size // piece_bytes)))
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -52,3 +47,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard_stage(staged: DataFrame) -> None:
+    """Delete the files of a staged table that is not read any more."""
+    jvm = staged.sparkSession.sparkContext._jvm
+    hadoop = staged.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in {file.rsplit("/", 1)[0] for file in staged.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(hadoop).delete(path, True)

@@ -37,9 +37,9 @@ def write_inputs(folder, articles, closes):
 def run(spark, base, name, articles, closes):
     folder = base / name
     write_inputs(folder, articles, closes)
-    parse_articles(spark, str(folder / "news"), str(folder / "news.csv"))
+    parse_articles(spark, str(folder / "news"), str(folder / "raw.parquet"))
     parse_prices(spark, str(folder / "prices"), str(folder / "stocks.csv"))
-    score_articles(spark, str(folder / "news.csv"), str(folder / "news.parquet"))
+    score_articles(spark, str(folder / "raw.parquet"), str(folder / "news.parquet"))
     return analyse_files(
         spark, str(base / "results"), str(folder / "news.parquet"), str(folder / "stocks.csv"),
         str(base / "sectors.csv"), str(base / "companies.csv"),
@@ -151,6 +151,49 @@ def test_a_batch_that_broke_off_is_run_again(spark, tmp_path, rows, monkeypatch)
     assert rows(tables.current()["stock"], "symbol") == [("A",)]
 
 
+def test_leftovers_do_not_count_after_a_batch_of_prices(spark, tmp_path, rows, monkeypatch):
+    sectors, companies, articles, ticks = inputs(spark, "Apple")
+    tables = ResultTables(spark, str(tmp_path / "r"))
+    analyse(tables, sectors, companies, ticks=ticks)
+
+    def breaks(*_):
+        raise RuntimeError("lost")
+
+    later = spark.createDataFrame(
+        [(JAN + 40 * 86400, "A", 1.0, 1.0, 1, 1.0, 1.0), (JAN + 41 * 86400, "A", 3.0, 3.0, 1, 3.0, 3.0)], RAW_TICKS
+    )
+    with monkeypatch.context() as patch:
+        patch.setattr(ResultTables, "complete", breaks)
+        try:
+            analyse(tables, sectors, companies, articles, later)
+        except RuntimeError:
+            pass
+    analyse(tables, sectors, companies, ticks=ticks)
+    assert rows(tables.current()["stock"], "time_period") == [("2020-01",)]
+    analyse(tables, sectors, companies, articles)
+    assert rows(tables.current()["stock_corr"], "number_of_articles") == [(1,)]
+
+
+def test_rows_of_one_key_are_counted_once_over_deliveries(spark, tmp_path, rows):
+    sectors, companies, _, ticks = inputs(spark, "Apple")
+    tables = ResultTables(spark, str(tmp_path / "r"))
+    one = article("Apple")
+    delivery = spark.createDataFrame([one, (*one[:2], "other", *one[3:])], SCORED_ARTICLES)
+    for _ in range(3):
+        analyse(tables, sectors, companies, delivery, ticks)
+        assert rows(tables.current()["stock_corr"], "number_of_articles") == [(2,)]
+    assert tables.current()["news"].count() == 1
+
+
+def test_folders_of_keyed_tables_stay_few(spark, tmp_path):
+    sectors, companies, _, ticks = inputs(spark, "Apple")
+    tables = ResultTables(spark, str(tmp_path / "r"))
+    for i in range(4):
+        analyse(tables, sectors, companies, spark.createDataFrame([article(f"Apple {i}")], SCORED_ARTICLES), ticks)
+    assert tables.stock_corr.versions() == [3, 4]
+    assert len(tables.news.versions()) == 4
+
+
 def test_search_plans_give_the_same_tables(spark, tmp_path, rows):
     sectors, companies, articles, ticks = inputs(spark, "Apple", "pineapple", "none")
     results = []

@@ -1,7 +1,9 @@
 from newstide.checks import bindings as b
 from newstide.checks.registry import CHECKS
+from newstide.operators import mentions as m
 from newstide.operators.keys import new_articles
 from newstide.operators.prices import monthly_price_change
+from newstide.operators.scoring import add_sentiment
 from newstide.workspace import spread
 
 FOLDER = "/root/testdata/sf0.001"
@@ -37,6 +39,14 @@ def test_stored_articles_move_as_digests(spark):
 
 
 def test_large_inputs_stay_where_they_are(spark):
-    small, large = spark.range(10_000), spark.range(10**12)
-    assert "Repartition" in spread(small)._jdf.queryExecution().optimizedPlan().toString()
-    assert spread(large) is large
+    cores = spark.sparkContext.defaultParallelism
+    few, many = spark.range(0, 10**12, 1, 1), spark.range(0, 100, 1, cores)
+    assert spread(few).rdd.getNumPartitions() == cores
+    assert spread(many) is many
+
+
+def test_operators_do_not_deal_rows_out(spark):
+    articles = b.news(spark, FOLDER)
+    given = plan_of(articles).count("RoundRobin")
+    for found in (add_sentiment(articles), m.sector_mentions(articles, b.sectors(spark, FOLDER))):
+        assert plan_of(found).count("RoundRobin") <= given

@@ -4,11 +4,12 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from newstide.operators.mentions import sector_keywords
-from newstide.schemas import ARTICLE_COLUMNS, SCORED_ARTICLES
+from newstide.schemas import ARTICLE_COLUMNS, RAW_ARTICLES, SCORED_ARTICLES
 from newstide.sources.articles import read_articles_csv, read_articles_json, read_scored_articles
+from newstide.sources.corrupt import corrupt_records
 from newstide.sources.dimensions import read_companies_csv, read_sectors_csv
 from newstide.sources.optional import or_none
-from newstide.sources.prices import PriceLayout, read_prices_csv, read_prices_json
+from newstide.sources.prices import PriceLayout, price_schema, read_prices_csv, read_prices_json
 from newstide.sources.sinks import write_articles_csv, write_prices_csv
 from newstide.sources.tables import StoredTable
 
@@ -64,6 +65,24 @@ def test_prices_from_json(spark, tmp_path, rows):
     assert rows(read_prices_csv(spark, str(tmp_path / "csv")), *columns) == expected
 
 
+def test_corrupt_records_are_given_and_not_read_as_rows(spark, tmp_path, rows):
+    lines = [json.dumps({"title": "a"}), '{"title": "b", "te', json.dumps({"text": "c"})]
+    (tmp_path / "n.json").write_text("\n".join(lines))
+    path = str(tmp_path / "n.json")
+    assert rows(read_articles_json(spark, path, multi_line=False), "title", "text") == [(None, "c"), ("a", None)]
+    bad = corrupt_records(spark, path, RAW_ARTICLES, multi_line=False)
+    assert rows(bad, "record") == [(lines[1],)] and bad.count() == 1
+
+    folder = tmp_path / "prices"
+    folder.mkdir()
+    whole = json.dumps(price_file("AAA", timestamp=[10], open=[1], close=[2], low=[1]))
+    (folder / "a.json").write_text(whole)
+    (folder / "b.json").write_text(whole[:40])
+    bad = corrupt_records(spark, str(folder), price_schema())
+    assert [r.file.rsplit("/", 1)[-1] for r in bad.collect()] == ["b.json"]
+    assert read_prices_json(spark, str(folder)).count() == 1
+
+
 def test_price_layout_is_a_parameter(spark, tmp_path, rows):
     line = {"data": [{"name": "Z", "t": [1, 2], "q": [{"close": [3, 4], "low": [1, 1]}]}]}
     (tmp_path / "p.json").write_text(json.dumps(line))
