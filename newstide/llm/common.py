@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -23,10 +22,6 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-def split_words(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != F.lit(""))
-
-
 def with_outputs(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns; an input column of the same name, in any case, gives way."""
     taken = {name.lower() for name in columns}
@@ -44,3 +39,13 @@ def row_batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, after limiting the session's Arrow batches to 4 MB.
+
+    By default a batch is 10,000 rows or 64 MB, of which JVM and Python each hold a copy or
+    two per running task; whole texts fill that.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    return df

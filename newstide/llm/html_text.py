@@ -14,7 +14,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from newstide.llm.common import row_batches
+from newstide.llm.common import bounded_batches, row_batches
 
 # A tag, whose quoted attribute values may hold ">"; where quotes do not pair up, the first
 # ">" ends it. Comments and declarations are skipped. A "<" that opens nothing is text.
@@ -283,4 +283,4 @@ def extract_text(pages: DataFrame, key: str = "page_id", html: str = "html") ->
 
     names = [key, "text"]
     kind = pages.schema[key].dataType.simpleString()
-    return pages.select(key, html).mapInArrow(render, f"`{key}` {kind}, text string")
+    return bounded_batches(pages).select(key, html).mapInArrow(render, f"`{key}` {kind}, text string")

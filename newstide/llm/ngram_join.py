@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from newstide.llm.common import row_batches
+from newstide.llm.common import bounded_batches, row_batches
 from newstide.llm.links import components
 from newstide.workspace import stage
 
@@ -480,6 +480,7 @@ def similar_groups(
     text, and one whose id is NULL gets the component of those it equals, if any. Empty
     tables give empty results.
     """
+    docs = bounded_batches(docs)
     sets = indexed_sets(docs, key, text, limits)
     nodes = stage(
         sets.filter("n > 0 AND doc IS NOT NULL")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from newstide.llm.common import row_batches
+from newstide.llm.common import bounded_batches, row_batches
 from newstide.workspace import stage
 
 _SYMBOL = re.compile(rb"[#*$%&|<>]")
@@ -77,6 +77,7 @@ def document_stats(docs: DataFrame, keep: list[str], text: str = "text") -> Data
             columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *columns], [*keep, *STATS])
 
+    docs = bounded_batches(docs)
     shape = docs.select(*keep).schema
     for name in STATS:
         shape = shape.add(name, "long")

@@ -19,7 +19,7 @@ from urllib.parse import unquote_to_bytes
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from newstide.llm.common import row_batches
+from newstide.llm.common import bounded_batches, row_batches
 
 KINDS = ("assign", "access", "hex")
 _ASSIGN = re.compile(
@@ -222,4 +222,4 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", most:
 
     names = [key, *[c.split()[0] for c in SECRETS.split(", ")]]
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(find, f"`{key}` {kind}, {SECRETS}")
+    return bounded_batches(docs).select(key, text).mapInArrow(find, f"`{key}` {kind}, {SECRETS}")

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from newstide.llm.common import bounded_batches
 from newstide.workspace import stage
 
 _MOD = 1 << 64
@@ -467,7 +468,7 @@ def remove_repeats(
     as the largest and is given back as NULL; an empty table gives an empty result. Texts
     equal to an earlier one are settled by their digest and not searched.
     """
-    spark = docs.sparkSession
+    spark = bounded_batches(docs).sparkSession
     rows = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("doc"),
         F.coalesce(F.col(text), F.lit("")).cast("binary").alias("data"),

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
+from newstide.llm.common import bounded_batches
 from newstide.workspace import fresh_path, stage
 
 CHUNK = 1 << 20
@@ -260,7 +261,7 @@ def warc_records(pages: DataFrame, least: int = 1000) -> DataFrame:
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
     """Write the pages as monolithic archives, normalise these, and read all records back."""
-    spark = pages.sparkSession
+    spark = bounded_batches(pages).sparkSession
     raw, final = fresh_path(spark, "warc-raw"), fresh_path(spark, "warc")
     index = normalise(write_monolithic(warc_records(pages), raw), raw, final)
     return read_archives(index, final)
