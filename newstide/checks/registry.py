@@ -710,7 +710,9 @@ def article_array_source(spark, folder):
     path = fresh_path(spark, "articles-array")
     rows = F.to_json(F.collect_list(F.struct("*")), {"ignoreNullFields": "false"})
     hundred = F.floor(F.col("stock").cast("long") / 100)
-    _ten_columns(spark, folder).groupBy(hundred).agg(rows.alias("value")).select("value").write.text(path)
+    _ten_columns(spark, folder).groupBy(hundred).agg(rows.alias("value")).select("value").write.option(
+        "maxRecordsPerFile", 1
+    ).text(path)
     return read_articles_json(spark, path)
 
 
