@@ -4,6 +4,12 @@ A worklist starts with the text itself. Each layer is scanned, and whatever in i
 Unicode or base64 encoded or compressed is unwrapped into further layers, until none is new.
 Every character of a layer knows the stretch of the original text it came from, so what is
 found in a layer is reported where the reader sees it.
+
+Compressed layers are inflated in pieces, over all members and as deep as they go. All that is
+in one stands at the one place of its compressed form, so pieces need no maps. A piece ends
+where nothing that is looked for can go on; memory follows the longest stretch without such an
+end, not the size of the content. Time is not limited: a decompression bomb takes as long as
+its content, and one built to hold ever larger copies of itself does not end.
 """
 
 from __future__ import annotations
@@ -11,9 +17,11 @@ from __future__ import annotations
 import base64
 import binascii
 import hashlib
+import io
 import re
+import tempfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import unquote_to_bytes
 
 import pyarrow as pa
@@ -38,6 +46,12 @@ _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
 _PRINTABLE = re.compile(r"[\x20-\x7e\t\r\n\u00a0-\ud7ff\ue000-\ufffd\U00010000-\U0010ffff]+")
 
 
+# Where a compressed layer may be cut: after a character that no pattern above has, or after a
+# space between plain words, which is in no assignment. Hexadecimal digits may end an escape.
+_CUT = re.compile(r"[^A-Za-z0-9+/_.=\x20\t\r\n\"':%\\{}&#;-]|(?<=[g-zG-Z])\x20(?=[A-Za-z])")
+PIECE = 1 << 20
+
+
 def scan(text: str) -> list[tuple[str, int, int]]:
     """Base matches (kind, start, end), leftmost and non-overlapping per kind."""
     found = []
@@ -50,19 +64,31 @@ def scan(text: str) -> list[tuple[str, int, int]]:
 
 
 class Layer:
-    """A text and, for each of its characters, where in the original it came from."""
+    """A text and, for each of its characters, where in the original it came from.
 
-    __slots__ = ("text", "starts", "ends")
+    ``place`` is given instead where that is the same for all.
+    """
 
-    def __init__(self, text: str, starts, ends):
-        self.text, self.starts, self.ends = text, starts, ends
+    __slots__ = ("text", "starts", "ends", "place")
+
+    def __init__(self, text: str, starts=None, ends=None, place: tuple[int, int] | None = None):
+        self.text, self.starts, self.ends, self.place = text, starts, ends, place
 
     def at(self, start: int, end: int) -> tuple[int, int]:
-        if self.starts is None:
-            return start, end
+        if self.place or self.starts is None:
+            return self.place or (start, end)
         return min(self.starts[start:end]), max(self.ends[start:end])
 
 
+class Packed:
+    """Compressed bytes, as a file open for reading, and the place of all that is in them."""
+
+    __slots__ = ("file", "digest", "place")
+
+    def __init__(self, file, digest: bytes, place: tuple[int, int]):
+        self.file, self.digest, self.place = file, digest, place
+
+
 def _substituted(layer: Layer, start: int, end: int, pattern, decode) -> Layer | None:
     """Part of a layer with every match replaced by what it stands for."""
     text, starts, ends, at, changed = [], [], [], start, False
@@ -74,17 +100,20 @@ def _substituted(layer: Layer, start: int, end: int, pattern, decode) -> Layer |
         _copy(layer, at, m.start(), text, starts, ends)
         s, e = layer.at(m.start(), m.end())
         text.append(value)
-        starts += [s] * len(value)
-        ends += [e] * len(value)
+        if not layer.place:
+            starts += [s] * len(value)
+            ends += [e] * len(value)
         at = m.end()
     if not changed:
         return None
     _copy(layer, at, end, text, starts, ends)
-    return Layer("".join(text), starts, ends)
+    return Layer("".join(text), starts, ends, layer.place)
 
 
 def _copy(layer: Layer, start: int, end: int, text: list, starts: list, ends: list) -> None:
     text.append(layer.text[start:end])
+    if layer.place:
+        return
     starts += range(start, end) if layer.starts is None else layer.starts[start:end]
     ends += range(start + 1, end + 1) if layer.ends is None else layer.ends[start:end]
 
@@ -101,14 +130,90 @@ def _escape(match) -> str | None:
     return chr(code) if code <= 0x10FFFF and not 0xD800 <= code <= 0xDFFF else None
 
 
-def inflate(data: bytes, most: int) -> bytes | None:
-    """Content of gzip or zlib data, up to ``most`` bytes of it; None for anything else."""
+def is_packed(data: bytes) -> bool:
+    """Whether this is, or starts, gzip or zlib data; text such as ``x^2`` has a zlib header too."""
     if data[:2] != b"\x1f\x8b" and (len(data) < 6 or data[0] != 0x78 or (data[0] * 256 + data[1]) % 31):
-        return None
+        return False
     try:
-        return zlib.decompressobj(47).decompress(data, most)
+        zlib.decompressobj(47).decompress(data[:4096], 1)
     except zlib.error:
-        return None
+        return False
+    return True
+
+
+def inflated(file, piece: int) -> Iterator[bytes]:
+    """Content of gzip or zlib data in pieces: all members, then what follows them as it is.
+
+    Where the data is broken or breaks off, the content up to there.
+    """
+    member = zlib.decompressobj(47)
+    while data := file.read(piece):
+        while data:
+            try:
+                if content := member.decompress(data, piece):
+                    yield content
+            except zlib.error:
+                return
+            if not member.eof:
+                data = member.unconsumed_tail
+                continue
+            data = member.unused_data.lstrip(b"\0")
+            while len(data) < 4096 and (rest := file.read(piece)):
+                data = (data + rest).lstrip(b"\0")
+            if data and not is_packed(data):
+                yield b"\0" + data
+                while rest := file.read(piece):
+                    yield rest
+                return
+            member = zlib.decompressobj(47)
+    # What a last call held back because of its limit.
+    while not member.eof:
+        try:
+            content = member.decompress(b"", piece)
+        except zlib.error:
+            return
+        if not content:
+            return
+        yield content
+
+
+def _pieces(packed: Packed, piece: int) -> Iterator[Layer | Packed]:
+    """What is in a compressed layer: a compressed layer again, or text in pieces.
+
+    No pattern has characters beyond ASCII, so bytes stand for characters.
+    """
+    source, head = inflated(packed.file, piece), b""
+    for content in source:
+        head += content
+        if len(head) >= 4096:
+            break
+    if is_packed(head):
+        with tempfile.SpooledTemporaryFile(piece) as file:
+            digest = hashlib.sha256()
+            while head:
+                file.write(head)
+                digest.update(head)
+                head = next(source, b"")
+            file.seek(0)
+            yield Packed(file, digest.digest(), packed.place)
+        return
+    held = []
+    while head:
+        text, head = head.decode("latin-1"), next(source, b"")
+        before = held[-1][-1:] if held else ""
+        cut = None
+        for start in (max(len(text) - 4096, 0), 0):
+            for cut in _CUT.finditer(before + text, start):
+                pass
+            if cut:
+                break
+        if cut is None:
+            held.append(text)
+            continue
+        end = cut.end() - len(before)
+        yield Layer("".join([*held, text[:end]]), place=packed.place)
+        held = [text[end:]] if end < len(text) else []
+    yield Layer("".join(held), place=packed.place)
 
 
 def _readable(data: bytes) -> str | None:
@@ -119,34 +224,33 @@ def _readable(data: bytes) -> str | None:
     return text if text and _PRINTABLE.fullmatch(text) else None
 
 
-def _base64_layer(layer: Layer, start: int, end: int, most: int) -> Layer | None:
+def _base64_layer(layer: Layer, start: int, end: int) -> Layer | Packed | None:
     raw = layer.text[start:end].rstrip("=")
     try:
         data = base64.b64decode(raw.replace("-", "+").replace("_", "/") + "=" * (-len(raw) % 4))
     except (binascii.Error, ValueError):
         return None
     text = _readable(data)
-    if text is not None:
-        starts, ends, byte = [], [], 0
-        for c in text:
-            size = len(c.encode("utf-8"))
-            first, last = start + byte * 4 // 3, start + -(-(byte + size) * 4 // 3)
-            s, e = layer.at(first, min(last, end))
-            starts.append(s)
-            ends.append(e)
-            byte += size
-        return Layer(text, starts, ends)
-    depth = 0
-    while (inner := inflate(data, most)) is not None and depth < 50:
-        data, depth = inner, depth + 1
-    text = _readable(data) if depth else None
     if text is None:
-        return None
-    s, e = layer.at(start, end)
-    return Layer(text, [s] * len(text), [e] * len(text))
+        return _packed(data, layer.at(start, end)) if is_packed(data) else None
+    if layer.place:
+        return Layer(text, place=layer.place)
+    starts, ends, byte = [], [], 0
+    for c in text:
+        size = len(c.encode("utf-8"))
+        first, last = start + byte * 4 // 3, start + -(-(byte + size) * 4 // 3)
+        s, e = layer.at(first, min(last, end))
+        starts.append(s)
+        ends.append(e)
+        byte += size
+    return Layer(text, starts, ends)
+
+
+def _packed(data: bytes, place: tuple[int, int]) -> Packed:
+    return Packed(io.BytesIO(data), hashlib.sha256(data).digest(), place)
 
 
-def unwrap(layer: Layer, most: int) -> Iterator[Layer]:
+def unwrap(layer: Layer) -> Iterator[Layer | Packed]:
     """Layers one step below; escapes are resolved line by line, to keep their context."""
     text = layer.text
     if "%" in text or "\\" in text or "&#" in text:
@@ -159,35 +263,68 @@ def unwrap(layer: Layer, most: int) -> Iterator[Layer]:
                     yield below
             at = end
     for m in _BASE64.finditer(text):
-        if below := _base64_layer(layer, m.start(), m.end(), most):
+        if below := _base64_layer(layer, m.start(), m.end()):
             yield below
         elif "/" in m[0]:
             for part in re.finditer(r"[^/]{12,}", m[0]):
                 start = m.start() + part.start()
-                if below := _base64_layer(layer, start, m.start() + part.end(), most):
+                if below := _base64_layer(layer, start, m.start() + part.end()):
                     yield below
 
 
-def find_secrets(text: str, most: int = 16 << 20) -> tuple[list, list]:
-    """Base spans of the text, and further spans from the layers below it."""
-    base = scan(text)
-    known, more, work = set(base), [], [Layer(text, None, None)]
+def _below(top: Layer, found: Callable[[Layer], None]) -> Iterator[Packed]:
+    """Hand all layers below one to ``found``; those that are compressed are returned."""
+    work = [top]
     # A layer is new if this content from this place has not been seen: encodings that lead
     # back to themselves end here.
-    seen = {(text, 0, len(text))}
+    seen = {(top.text, *(top.place or (0, len(top.text))))}
     while work:
-        layer = work.pop()
-        for below in unwrap(layer, most):
-            identity = (below.text, min(below.starts, default=0), max(below.ends, default=0))
+        for below in unwrap(work.pop()):
+            if isinstance(below, Packed):
+                identity = (below.digest, *below.place)
+            else:
+                place = below.place or (min(below.starts, default=0), max(below.ends, default=0))
+                identity = (below.text, *place)
             if identity in seen:
                 continue
             seen.add(identity)
-            work.append(below)
-            for kind, start, end in scan(below.text):
-                span = (kind, *below.at(start, end))
-                if span not in known:
-                    known.add(span)
-                    more.append(span)
+            if isinstance(below, Packed):
+                yield below
+            else:
+                work.append(below)
+                found(below)
+
+
+def find_secrets(text: str, piece: int = PIECE) -> tuple[list, list]:
+    """Base spans of the text, and further spans from the layers below it."""
+    base = scan(text)
+    known, more = set(base), []
+
+    def found(layer: Layer) -> None:
+        for kind, start, end in scan(layer.text):
+            span = (kind, *layer.at(start, end))
+            if span not in known:
+                known.add(span)
+                more.append(span)
+
+    # Depth first, with a compressed layer open at a time per level. One that is within itself
+    # is not opened again, nor is one read on of whose place all kinds are known.
+    stack, opened = [(None, _below(Layer(text), found))], set()
+    while stack:
+        packed, layers = stack[-1]
+        done = packed and all((kind, *packed.place) in known for kind in KINDS)
+        below = None if done else next(layers, None)
+        if below is None:
+            stack.pop()
+            layers.close()
+            if isinstance(packed, Packed):
+                opened.discard(packed.digest)
+        elif isinstance(below, Layer):
+            found(below)
+            stack.append((below, _below(below, found)))
+        elif below.digest not in opened:
+            opened.add(below.digest)
+            stack.append((below, _pieces(below, piece)))
     return base, more
 
 
@@ -199,12 +336,12 @@ def joined(spans) -> str:
 SECRETS = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_layered long"
 
 
-def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = 16 << 20) -> DataFrame:
+def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", piece: int = PIECE) -> DataFrame:
     """Per document: base counts and digest, and all spans, base and unwrapped.
 
     Spans are code points of the whole text, end exclusive, ``kind:start:end``. NULL is the
     empty text, repeated rows are scanned one by one, an empty table gives an empty result.
-    ``most`` bounds what one compressed layer may inflate to, against decompression bombs.
+    Compressed layers are read whole, ``piece`` bytes at a time.
     Reads two columns and shuffles nothing.
     """
 
@@ -212,7 +349,7 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", most:
         for batch in row_batches(batches):
             rows = []
             for value in batch.column(1).to_pylist():
-                base, more = find_secrets(value or "", most)
+                base, more = find_secrets(value or "", piece)
                 counts = [sum(s[0] == kind for s in base) for kind in KINDS]
                 digest = hashlib.sha256(joined(base).encode()).hexdigest()
                 rows.append((*counts, digest, joined(base + more), len(more)))

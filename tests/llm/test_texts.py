@@ -1,13 +1,15 @@
 import base64
+import functools
 import gzip
 import hashlib
 import random
 import re
+import zlib
 from urllib.parse import quote
 
 import pytest
 
-from newstide.llm import pii
+from newstide.llm import pii, secret_scan
 from newstide.llm.html_text import extract_text, visible_text
 from newstide.llm.secret_scan import KINDS, find_secrets, scan_secrets
 
@@ -134,6 +136,47 @@ def test_cycles_end_and_plain_text_gives_nothing_more():
     assert find_secrets(base64.b64encode(gzip.compress(b"x" * 10_000_000)).decode())[1] == []
 
 
+@functools.cache
+def packed_layers():
+    rng, plain = random.Random(4), SECRET.encode()
+    noise = bytes(rng.choice(b"0123456789abcdef ,") for _ in range(300_000)).replace(b"ab", b",")
+    deep = plain
+    for _ in range(120):
+        deep = gzip.compress(deep)
+    return {
+        "members": gzip.compress(b"hello ") + gzip.compress(plain),
+        "split members": gzip.compress(b"passw") + gzip.compress(b"ord = hunter22x"),
+        "padded members": gzip.compress(b"hello ") + b"\0" * 700 + gzip.compress(plain),
+        "behind the data": gzip.compress(b"hello ") + plain,
+        "beyond 16 MB": gzip.compress(b"a lot, " * (3 << 20) + plain),
+        "characters of two bytes": gzip.compress("é, ".encode() * (6 << 20) + plain),
+        "deep": deep,
+        "zlib": zlib.compress(noise + b" " + plain),
+        "below 16 MB": gzip.compress(b"one, " * (4 << 20) + base64.b64encode(gzip.compress(plain))),
+    }
+
+
+@pytest.mark.parametrize("how", list(packed_layers()))
+def test_compressed_layers_are_read_whole(how):
+    wrapped = base64.b64encode(packed_layers()[how]).decode()
+    more = find_secrets(f"é before {wrapped} after")[1]
+    assert {s for s in more if s[0] == "assign"} == {("assign", 9, 9 + len(wrapped.rstrip("=")) + wrapped.count("="))}
+
+
+def test_pieces_lose_nothing_wherever_they_end():
+    for middle in ("password   =   hunter22x", quote(SECRET), base64.b64encode(gzip.compress(SECRET.encode())).decode()):
+        for lead in range(40):
+            content = "one, two " + "wo " * lead + middle + " and more text, " * 9
+            text = base64.b64encode(gzip.compress(content.encode())).decode()
+            assert find_secrets(text, 32)[1] == [("assign", 0, len(text))], (middle, lead)
+
+
+def test_compressed_content_that_holds_itself_ends(monkeypatch):
+    data, opened = gzip.compress(SECRET.encode()), []
+    monkeypatch.setattr(secret_scan, "inflated", lambda file, piece: iter([opened.append(1) or data]))
+    assert find_secrets(base64.b64encode(data).decode())[1] == [] and len(opened) == 1
+
+
 def test_secret_base_equals_brute_force(documents, awkward):
     rng = random.Random(9)
     noise = ["".join(rng.choice(["token", "Secret", "=", ":", '"', " ", "ab", "0f", "AKIA", "Z9", "password"]) for _ in range(150)) for _ in range(40)]
