@@ -10,11 +10,15 @@ in one stands at the one place of its compressed form, so pieces need no maps. A
 where nothing that is looked for can go on; memory follows the longest stretch without such an
 end, not the size of the content. Time is not limited: a decompression bomb takes as long as
 its content, and one built to hold ever larger copies of itself does not end.
+
+Base64 is read as the run it is and, where lines follow one another, over their ends as well;
+a line that is complete by itself is thus also reported by itself. A run that does not decode
+to clean text may be glued to other text or hold bytes: it is decoded from each of four places,
+and whatever stretches of ASCII or compressed data come out of it are layers.
 """
 
 from __future__ import annotations
 
-import base64
 import binascii
 import hashlib
 import io
@@ -43,6 +47,15 @@ _ESCAPE = re.compile(
     r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
 )
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
+_WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{4,}+(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)+={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+_STANDARD = str.maketrans("-_", "+/")
+# Base64 of the heads of gzip and zlib data.
+_HEAD = r"(?:H4sI|eA[E-H]|eF[4-7]|eJ[w-z]|eN[o-r])"
+_PACKED_LINE = re.compile(_HEAD)
+_PACKED_AT = re.compile(rf"(?<=[+/]){_HEAD}")
+# The shortest of what is looked for has 12 characters, all of them ASCII, like all base64.
+_STRETCH = re.compile(rb"[\t\r\n\x20-\x7e]{12,}")
 _PRINTABLE = re.compile(r"[\x20-\x7e\t\r\n\u00a0-\ud7ff\ue000-\ufffd\U00010000-\U0010ffff]+")
 
 
@@ -118,11 +131,8 @@ def _copy(layer: Layer, start: int, end: int, text: list, starts: list, ends: li
     ends += range(start + 1, end + 1) if layer.ends is None else layer.ends[start:end]
 
 
-def _percent(match) -> str | None:
-    try:
-        return unquote_to_bytes(match[0]).decode("utf-8")
-    except UnicodeDecodeError:
-        return None
+def _percent(match) -> str:
+    return unquote_to_bytes(match[0]).decode("utf-8", "replace")
 
 
 def _escape(match) -> str | None:
@@ -135,7 +145,7 @@ def is_packed(data: bytes) -> bool:
     if data[:2] != b"\x1f\x8b" and (len(data) < 6 or data[0] != 0x78 or (data[0] * 256 + data[1]) % 31):
         return False
     try:
-        zlib.decompressobj(47).decompress(data[:4096], 1)
+        zlib.decompressobj(47).decompress(data[:4096], 1 << 16)
     except zlib.error:
         return False
     return True
@@ -216,34 +226,77 @@ def _pieces(packed: Packed, piece: int) -> Iterator[Layer | Packed]:
     yield Layer("".join(held), place=packed.place)
 
 
-def _readable(data: bytes) -> str | None:
+def _readable(data: bytes) -> bool:
     try:
-        text = data.decode("utf-8")
+        return bool(_PRINTABLE.fullmatch(data.decode("utf-8")))
     except UnicodeDecodeError:
-        return None
-    return text if text and _PRINTABLE.fullmatch(text) else None
+        return False
 
 
-def _base64_layer(layer: Layer, start: int, end: int) -> Layer | Packed | None:
-    raw = layer.text[start:end].rstrip("=")
-    try:
-        data = base64.b64decode(raw.replace("-", "+").replace("_", "/") + "=" * (-len(raw) % 4))
-    except (binascii.Error, ValueError):
-        return None
-    text = _readable(data)
-    if text is None:
-        return _packed(data, layer.at(start, end)) if is_packed(data) else None
+def _bytes(run: str) -> bytes:
+    """What a run of base64 stands for, without padding; a single last character says nothing."""
+    run = run[:-1] if len(run) % 4 == 1 else run
+    return binascii.a2b_base64(run + "=" * (-len(run) % 4))
+
+
+def _base64_layers(layer: Layer, start: int, end: int) -> Iterator[Layer | Packed]:
+    """What a run of base64 stands for: it, or whatever is found in it from any place on."""
+    raw = layer.text[start:end].rstrip("=").translate(_STANDARD)
+    data = _bytes(raw)
+    whole = is_packed(data)
+    if whole:
+        yield _packed(data, layer.at(start, end))
+    for m in _PACKED_AT.finditer(raw):
+        if is_packed(rest := _bytes(raw[m.start() :])):
+            yield _packed(rest, layer.at(start + m.start(), end))
+    if whole:
+        return
+    yield from _stretches(layer, start, data)
+    if _readable(data):
+        return
+    for shift in range(4):
+        if shift:
+            data = _bytes(raw[shift:])
+            yield from _stretches(layer, start + shift, data)
+        at = data.find(b"\x1f\x8b\x08")
+        while at >= 0:
+            if is_packed(data[at:]):
+                yield _packed(data[at:], layer.at(start + shift + at * 4 // 3, end))
+                break
+            at = data.find(b"\x1f\x8b\x08", at + 1)
+
+
+def _stretches(layer: Layer, start: int, data: bytes) -> Iterator[Layer]:
+    for m in _STRETCH.finditer(data):
+        text = m[0].decode("ascii")
+        if layer.place:
+            yield Layer(text, place=layer.place)
+            continue
+        places = [layer.at(start + i * 4 // 3, start - (-(i + 1) * 4 // 3)) for i in range(m.start(), m.end())]
+        yield Layer(text, [p[0] for p in places], [p[1] for p in places])
+
+
+def _unfolded(layer: Layer, lines: list) -> Layer:
+    """Lines of base64 as one run."""
+    text = "".join(m[0] for m in lines)
     if layer.place:
         return Layer(text, place=layer.place)
-    starts, ends, byte = [], [], 0
-    for c in text:
-        size = len(c.encode("utf-8"))
-        first, last = start + byte * 4 // 3, start + -(-(byte + size) * 4 // 3)
-        s, e = layer.at(first, min(last, end))
-        starts.append(s)
-        ends.append(e)
-        byte += size
-    return Layer(text, starts, ends)
+    places = [layer.at(i, i + 1) for m in lines for i in range(m.start(), m.end())]
+    return Layer(text, [p[0] for p in places], [p[1] for p in places])
+
+
+def _blocks(text: str) -> Iterator[list]:
+    """Lines that may be one base64 text: after the first, full groups or of equal length."""
+    for m in _WRAPPED.finditer(text):
+        block = []
+        for line in _LINE.finditer(text, m.start(), m.end()):
+            size = len(block[-1][0]) if block else 0
+            if len(block) > 1 and size % 4 and size != len(block[-2][0]):
+                yield block
+                block = []
+            block.append(line)
+        if len(block) > 1:
+            yield block
 
 
 def _packed(data: bytes, place: tuple[int, int]) -> Packed:
@@ -262,14 +315,17 @@ def unwrap(layer: Layer) -> Iterator[Layer | Packed]:
                 if below := _substituted(layer, start, end, pattern, decode):
                     yield below
             at = end
-    for m in _BASE64.finditer(text):
-        if below := _base64_layer(layer, m.start(), m.end()):
+    folded = set()
+    for block in _blocks(text) if "\n" in text else ():
+        run = _unfolded(layer, block)
+        for below in _base64_layers(run, 0, len(run.text)):
+            if isinstance(below, Packed):
+                folded.update(m.start() for m in block[:1])
+                folded.update(m.start() for m in block[1:] if not _PACKED_LINE.match(m[0]))
             yield below
-        elif "/" in m[0]:
-            for part in re.finditer(r"[^/]{12,}", m[0]):
-                start = m.start() + part.start()
-                if below := _base64_layer(layer, start, m.start() + part.end()):
-                    yield below
+    for m in _BASE64.finditer(text):
+        if m.start() not in folded:
+            yield from _base64_layers(layer, m.start(), m.end())
 
 
 def _below(top: Layer, found: Callable[[Layer], None]) -> Iterator[Packed]:

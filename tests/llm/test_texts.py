@@ -177,6 +177,58 @@ def test_compressed_content_that_holds_itself_ends(monkeypatch):
     assert find_secrets(base64.b64encode(data).decode())[1] == [] and len(opened) == 1
 
 
+def folded(data, width, end="\n"):
+    text = base64.b64encode(data).decode()
+    return end.join(text[i : i + width] for i in range(0, len(text), width))
+
+
+def broken_runs():
+    plain, rng = SECRET.encode(), random.Random(8)
+    long = "".join(rng.choice("abcdefghij ,") for _ in range(300)).encode() + plain
+    noise = bytes(rng.randrange(256) for _ in range(400))
+    b64 = lambda data: base64.b64encode(data).decode()
+    return {
+        **{f"lines of {w}": folded(long, w) for w in (64, 70, 76)},
+        **{f"packed lines of {w}": folded(gzip.compress(long), w, "\r\n  ") for w in (64, 76)},
+        "packed lines behind text": "data-" + folded(gzip.compress(noise + plain), 76),
+        "lines in lines": folded(folded(long, 76).encode(), 64),
+        "packed folded lines": b64(gzip.compress(folded(gzip.compress(long), 76).encode())),
+        "NUL": b64(b"begin\0" + plain),
+        "form feed": b64(b"begin " * 50 + b"\f" + plain + b"\x1b[0m"),
+        "bytes": b64(noise + b" " + plain + b" " + noise),
+        "glued to -": "id-" + b64(plain),
+        "glued to _": "some_id_" + b64(plain),
+        "glued to +": "a+bc+" + b64(plain),
+        "glued packed": "id_" + b64(gzip.compress(plain)),
+        "glued zlib": "id-no-" + b64(zlib.compress(plain)),
+        "packed glued to packed": b64(gzip.compress(b"nothing here")).rstrip("=") + "-" + b64(gzip.compress(plain)),
+        "packed within bytes": b64(b"\1\2" + gzip.compress(plain)),
+        "url with a bad byte": "%FF" + "".join(f"%{c:02x}" for c in b" " + plain),
+    }
+
+
+@pytest.mark.parametrize("how", list(broken_runs()))
+def test_broken_runs_are_unwrapped_and_mapped(how):
+    wrapped = broken_runs()[how]
+    for text in (f"é before {wrapped} after", f"é\n{wrapped}\nSincerely", f"before: {wrapped}"):
+        start, end = text.index(wrapped), text.index(wrapped) + len(wrapped)
+        hits = [s for s in find_secrets(text)[1] if s[0] == "assign"]
+        assert hits and all(start <= s[1] < s[2] for s in hits)
+        assert any(s[2] >= end - 8 for s in hits) or how in ("form feed", "bytes")
+        assert all(s[2] <= end for s in hits) or text.endswith("Sincerely")
+
+
+def test_lines_of_their_own_stay_apart():
+    secrets = [f"token = {c * n}" for c, n in (("ab", 6), ("cd", 5), ("ef", 9), ("gh", 7))]
+    lines = [base64.b64encode(t.encode()).decode().rstrip("=") for t in secrets]
+    text = "\n".join(lines)
+    spans = {("assign", text.index(line), text.index(line) + len(line)) for line in lines}
+    assert spans <= set(find_secrets(text)[1])
+    lines = [base64.b64encode(gzip.compress(t.encode())).decode().rstrip("=") for t in secrets]
+    text = "\n".join(lines)
+    assert all(any(a <= text.index(x) < b for _, a, b in find_secrets(text)[1]) for x in lines)
+
+
 def test_secret_base_equals_brute_force(documents, awkward):
     rng = random.Random(9)
     noise = ["".join(rng.choice(["token", "Secret", "=", ":", '"', " ", "ab", "0f", "AKIA", "Z9", "password"]) for _ in range(150)) for _ in range(40)]
