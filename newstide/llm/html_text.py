@@ -2,14 +2,16 @@
 
 A tolerant tokenizer feeds a tree builder that closes elements the author left open
 (paragraphs, list items, cells, rows). The renderer walks the tree, leaves out what is not
-shown, and keeps block spacing, list markers, preformatted text and aligned table cells.
+shown, and keeps block spacing, list markers, preformatted text and aligned table cells. Both
+keep their own stack, so elements may be nested to any depth.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,6 +30,7 @@ _STYLE_HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collap
 _HIDDEN_ATTR = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|(?:^|\s)type\s*=\s*[\"']?hidden\b", re.I)
 _STYLE_ATTR = re.compile(r"(?:^|\s)style\s*=\s*(\"[^\"]*\"|'[^']*'|\S+)", re.I)
 _SPAN = re.compile(r"colspan\s*=\s*[\"']?(\d{1,3})", re.I)
+_ROWS = re.compile(r"(?:^|\s)rowspan\s*=\s*[\"']?(\d{1,5})", re.I)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 
 # Fixed values of the HTML standard: elements without content, elements whose content is raw,
@@ -60,7 +63,6 @@ _IMPLIED = {
 }
 _CLOSES_P = (_BLOCK - {"tbody", "td", "tfoot", "th", "thead", "tr", "option", "optgroup", "body", "html"})
 _P_SCOPE = {"td", "th", "table", "button", "caption"}
-_DEPTH = 150  # what is nested deeper joins the element at this depth
 
 
 class Node:
@@ -70,21 +72,33 @@ class Node:
         self.tag, self.attrs, self.children = tag, attrs, []
 
 
-def _close(stack: list[Node], tags: set[str], scope: set[str]) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in tags:
-            del stack[i:]
-            return
-        if stack[i].tag in scope:
-            return
+class _Open:
+    """The open elements, and the places of each tag among them."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places = [root], {}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def last(self, tags: set[str]) -> int:
+        return max([places[-1] for t in tags if (places := self.places.get(t))], default=0)
+
+    def close(self, tags: set[str], scope: set[str]) -> None:
+        at = self.last(tags)
+        if at and self.last(scope) <= at:
+            for node in self.nodes[at:]:
+                self.places[node.tag].pop()
+            del self.nodes[at:]
 
 
 def build_tree(html: str) -> Node:
     root = Node("#root")
-    stack, at, end = [root], 0, html.rfind(">") + 1
+    stack, at, end = _Open(root), 0, html.rfind(">") + 1
     while match := _TOKEN.search(html, at, end):
         if match.start() > at:
-            stack[-1].children.append(unescape(html[at : match.start()]))
+            stack.nodes[-1].children.append(unescape(html[at : match.start()]))
         at = match.end()
         name = match[2] or match[5]
         if name is None:
@@ -92,26 +106,26 @@ def build_tree(html: str) -> Node:
         tag, attrs = name.lower(), match[3] or match[6] or ""
         if match[1] or match[4]:
             if tag == "br":
-                stack[-1].children.append(Node("br"))
+                stack.nodes[-1].children.append(Node("br"))
             elif tag != "body" and tag != "html":
-                _close(stack, {tag}, _TABLE if tag not in _TABLE and tag in _IMPLIED else set())
+                stack.close({tag}, _TABLE if tag not in _TABLE and tag in _IMPLIED else set())
             continue
         if tag in _CLOSES_P:
-            _close(stack, {"p"}, _P_SCOPE)
+            stack.close({"p"}, _P_SCOPE)
         if tag in _IMPLIED:
-            _close(stack, *_IMPLIED[tag])
+            stack.close(*_IMPLIED[tag])
         node = Node(tag, attrs)
-        stack[-1].children.append(node)
+        stack.nodes[-1].children.append(node)
         if tag in _RAW:
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
             inner = html[at : close.start()] if close else html[at:]
             if tag not in _UNSEEN:
                 node.children.append(unescape(inner))
             at = close.end() if close else len(html)
-        elif tag not in _VOID and not attrs.endswith("/") and len(stack) < _DEPTH:
-            stack.append(node)
+        elif tag not in _VOID and not attrs.endswith("/"):
+            stack.push(node)
     if at < len(html):
-        stack[-1].children.append(unescape(html[at:]))
+        stack.nodes[-1].children.append(unescape(html[at:]))
     return root
 
 
@@ -151,7 +165,21 @@ class _Page:
         self.marker = ""
 
 
-def _render(node: Node, page: _Page, pre: bool = False) -> None:
+def _run(task: Generator):
+    """What a generator returns that yields the generators it needs the results of."""
+    stack, value = [task], None
+    while stack:
+        try:
+            step, value = stack[-1].send(value), None
+        except StopIteration as end:
+            stack.pop()
+            value = end.value
+        else:
+            stack.append(step)
+    return value
+
+
+def _render(node: Node, page: _Page, pre: bool = False) -> Generator:
     number = 0
     for child in node.children:
         if isinstance(child, str):
@@ -170,7 +198,7 @@ def _render(node: Node, page: _Page, pre: bool = False) -> None:
             page.parts.append("\n")
         elif tag == "table":
             page.flush(1)
-            for line in _table(child):
+            for line in (yield _table(child)):
                 page.put(line)
             page.flush(1)
         elif tag == "li" and node.tag in ("ul", "ol", "menu", "dir"):
@@ -178,7 +206,7 @@ def _render(node: Node, page: _Page, pre: bool = False) -> None:
             page.flush()
             mark = f"{number}. " if node.tag == "ol" else "- "
             outer, page.indent, page.marker = page.indent, page.indent + " " * len(mark), mark
-            _render(child, page, pre)
+            yield _render(child, page, pre)
             page.flush()
             page.indent, page.marker = outer, ""
         elif tag in _BLOCK:
@@ -188,85 +216,118 @@ def _render(node: Node, page: _Page, pre: bool = False) -> None:
             outer = page.indent
             if tag in ("blockquote", "dd"):
                 page.indent += "  "
-            _render(child, page, pre or tag == "pre")
+            yield _render(child, page, pre or tag == "pre")
             page.flush(0 if nested else gap)
             page.indent = outer
         else:
             if tag in ("img", "input"):
                 continue
-            _render(child, page, pre)
+            yield _render(child, page, pre)
+
 
+def _number(pattern: re.Pattern, attrs: str, missing: int = 1) -> int:
+    found = pattern.search(attrs)
+    return int(found[1]) if found else missing
 
-def _cells(table: Node) -> Iterator[list[tuple[list[str], int]] | list[str]]:
-    """Rows of cells, each as its lines and the columns it spans; captions as plain lines."""
+
+def _cells(table: Node, rows: list) -> Generator:
+    """Rows of cells, each as its lines and the columns and rows it spans; captions as plain
+    lines; None where a group of rows ends, beyond which no cell spans."""
     for part in table.children:
         if isinstance(part, str):
             if part.strip():
-                yield [(part.split("\n"), 1)]
+                rows.append([(part.split("\n"), 1, 1)])
         elif not _hidden(part):
             if part.tag == "tr":
                 row = []
                 for cell in part.children:
                     if isinstance(cell, str):
                         if cell.strip():
-                            row.append(([" ".join(cell.split())], 1))
+                            row.append(([" ".join(cell.split())], 1, 1))
                     elif not _hidden(cell):
-                        span = _SPAN.search(cell.attrs)
-                        row.append((_lines(cell), max(1, int(span[1])) if span else 1))
-                yield row
+                        span = max(1, _number(_SPAN, cell.attrs))
+                        row.append(((yield _lines(cell)), span, _number(_ROWS, cell.attrs)))
+                rows.append(row)
             elif part.tag in ("tbody", "thead", "tfoot"):
-                yield from _cells(part)
+                rows.append(None)
+                yield _cells(part, rows)
+                rows.append(None)
             else:
-                yield _lines(part)
+                rows.append((yield _lines(part)))
+
+
+def _placed(rows: list) -> Iterator[list[tuple[int, list[str], int]] | list[str]]:
+    """The rows with the column of each cell, past cells that reach down from rows above.
+
+    A cell over 0 rows reaches to the end of its group.
+    """
+    until: dict[int, float] = {}
+    for number, row in enumerate(rows):
+        if row is None:
+            until = {}
+        elif row and isinstance(row[0], str):
+            # A line between rows is no row of the grid.
+            until = {c: last + 1 for c, last in until.items() if last > number}
+            yield row
+        else:
+            at, placed = 0, []
+            for lines, span, down in row:
+                while until.get(at, 0) > number:
+                    at += 1
+                placed.append((at, lines, span))
+                if down != 1:
+                    for c in range(at, at + span):
+                        until[c] = number + down if down else float("inf")
+                at += span
+            yield placed
 
 
-def _lines(node: Node) -> list[str]:
+def _lines(node: Node) -> Generator:
     page = _Page()
-    _render(node, page)
+    yield _render(node, page)
     page.flush()
     return page.lines
 
 
-def _table(table: Node) -> Iterator[str]:
-    rows = list(_cells(table))
+def _table(table: Node) -> Generator:
+    found: list = []
+    yield _cells(table, found)
+    rows = list(_placed(found))
     widths: list[int] = []
     for row in rows:
-        at = 0
         for cell in row:
             if isinstance(cell, str):
                 continue
-            lines, span = cell
+            at, lines, span = cell
             widths += [0] * (at + 1 - len(widths))
             if span == 1:
                 widths[at] = max(widths[at], *map(len, lines)) if lines else widths[at]
-            at += span
     for row in rows:  # a cell over several columns widens the last of them if it must
-        at = 0
         for cell in row:
             if isinstance(cell, str):
                 continue
-            lines, span = cell
+            at, lines, span = cell
             if span > 1:
                 widths += [0] * (at + span - len(widths))
                 wide = sum(widths[at : at + span]) + 2 * (span - 1)
                 widths[at + span - 1] += max(0, max(map(len, lines), default=0) - wide)
-            at += span
+    starts = [0, *accumulate(w + 2 for w in widths)]
+    out: list[str] = []
     for row in rows:
         if row and isinstance(row[0], str):
-            yield from row
+            out += row
             continue
-        for i in range(max((len(lines) for lines, _ in row), default=0)):
-            text, at, start = "", 0, 0
-            for lines, span in row:
-                text = text.ljust(start) + (lines[i] if i < len(lines) else "")
-                start += sum(w + 2 for w in widths[at : at + span])
-                at += span
-            yield text.rstrip()
+        for i in range(max((len(lines) for _, lines, _ in row), default=0)):
+            text = ""
+            for at, lines, _ in row:
+                text = text.ljust(starts[at]) + (lines[i] if i < len(lines) else "")
+            out.append(text.rstrip())
+    return out
 
 
 def visible_text(html: str | None) -> str:
     """The text a reader sees, lines separated by line ends; NULL gives the empty text."""
-    return "\n".join(_lines(build_tree(html))) if html else ""
+    return "\n".join(_run(_lines(build_tree(html)))) if html else ""
 
 
 def extract_text(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:

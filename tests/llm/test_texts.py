@@ -267,6 +267,29 @@ def test_visible_text(html):
     assert visible_text(html) == PAGES[html]
 
 
+SPANNED = {
+    "<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>": "a  b\n   c\nd  e",
+    "<table><tr><td>a<td rowspan='3' colspan=2>wide<td>b<tr><td>c<td>d<tr><td>e<td>f</table>": "a  wide  b\nc        d\ne        f",
+    "<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c<tbody><tr><td>d<td>e</table>": "a  b\n   c\nd  e",
+    "<table><tr><td rowspan=9>a<td>b</tr></table><table><tr><td>c<td>d</table>": "a  b\n\nc  d",
+}
+
+
+@pytest.mark.parametrize("html", list(SPANNED))
+def test_cells_that_span_rows_keep_their_column(html):
+    assert visible_text(html) == SPANNED[html]
+
+
+def test_deep_elements_keep_their_meaning():
+    for n in (149, 200, 3000):
+        inner = "<div>" * n + "unseen" + "</div>" * n
+        assert visible_text(f"<p>a</p><div hidden>{inner}<p>unseen too</div><p>b</p>") == "a\n\nb"
+        assert visible_text("<font>" * n + "<div>a<span hidden>no</span></div><pre>x\n  y</pre>") == "a\n\nx\n  y"
+        assert visible_text("<a name=x>" * n + "<table><tr><td>aa<td>b<tr><td>c<td>d</table>") == "aa  b\nc   d"
+    assert visible_text("<table><tr><td>" * 400 + "in" + "</table>" * 400 + "out") == "in\n\nout"
+    assert visible_text("<i><div>" * 50_000 + "deep") == "deep"
+
+
 def test_extract_text(spark, rows):
     deep = "<div>" * 5000 + "deep" + "</div>" * 5000
     pages = [(i, h, "clash") for i, h in enumerate(PAGES)] + [(100, None, "c"), (101, deep, "c"), (101, deep, "c"), (None, "<p>x", "c")]
