@@ -254,10 +254,9 @@ def train(spans: DataFrame) -> np.ndarray:
     table = np.array([[float(v) for v in r] for r in rows]).reshape(len(rows), len(names) + 1)
     kinds, votes = table[:, 0].astype(int), table[:, 1 : 1 + len(VOTES)]
     x = design(kinds, votes, table[:, 1 + len(VOTES) : -1])
-    # Logarithms keep the commonest cells from drowning all others.
-    weight = np.log1p(table[:, -1])
-    p, _ = reliabilities(kinds, votes, weight)
-    return fit_classifier(x, p, weight)
+    # A cell stands for all its spans: the result is that of all candidates one by one.
+    p, _ = reliabilities(kinds, votes, table[:, -1])
+    return fit_classifier(x, p, table[:, -1])
 
 
 def score(span: Column, weights: np.ndarray) -> Column:

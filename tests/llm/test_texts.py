@@ -89,6 +89,24 @@ def test_em_finds_the_unreliable_labeler():
     assert right[1][3] < right[1][1] < right[1][0] + 0.02
 
 
+def test_training_weighs_every_candidate_alike(spark):
+    import numpy as np
+
+    names = ["kind", *pii.VOTES, *pii.FEATURES]
+    cells = [
+        ([0, 1, 1, 0, -1, 1, 2, 0, 1], 40), ([0, 1, -1, 1, 1, 2, 1, 1, 0], 3), ([2, -1, 1, -1, 1, 0, 3, 1, 0], 7),
+        ([2, -1, -1, 0, -1, 2, 2, 0, 0], 300), ([3, 1, 0, 1, 1, 3, 1, 2, 1], 25), ([3, -1, 0, -1, 1, 1, 1, 1, 0], 60),
+    ]
+    every = [values for values, n in cells for _ in range(n)]
+    shape = ", ".join(f"{name}: int" for name in names)
+    spans = spark.createDataFrame([([tuple(v) for v in every],)], f"spans array<struct<{shape}>>")
+    table = np.array(every, float)
+    kinds, votes = table[:, 0].astype(int), table[:, 1 : 1 + len(pii.VOTES)]
+    x, ones = pii.design(kinds, votes, table[:, 1 + len(pii.VOTES) :]), np.ones(len(table))
+    p, _ = pii.reliabilities(kinds, votes, ones)
+    assert np.allclose(pii.train(spans), pii.fit_classifier(x, p, ones), atol=1e-6)
+
+
 def base_secrets(text):
     text, found = text or "", []
     for m in re.finditer(
