@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from newstide.llm.common import read_table
 from newstide.llm.decontaminate import leak_digest
 from newstide.llm.html_text import extract_text
+from newstide.llm.importance import resample_digest
 from newstide.llm.mixing import mix_digest
 from newstide.llm.ngram_join import join_digest
+from newstide.llm.periodic_runs import run_digest
 from newstide.llm.pii import find_pii
 from newstide.llm.quality import quality_digest
 from newstide.llm.secret_scan import scan_secrets
@@ -61,6 +63,14 @@ def op10_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeat_digest(read_table(spark, folder, "documents"))
 
 
+def op11_bit_sliced_weights(spark: SparkSession, folder: str) -> DataFrame:
+    return resample_digest(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+def op12_word_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_digest(read_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -74,6 +84,8 @@ QUERIES: dict[str, Query] = {
         op8_layered_secrets,
         op9_robust_outliers,
         op10_suffix_repeats,
+        op11_bit_sliced_weights,
+        op12_word_runs,
     )
 }
 
