@@ -12,6 +12,7 @@ from newstide.llm.html_text import extract_text
 from newstide.llm.importance import resample_digest
 from newstide.llm.mixing import mix_digest
 from newstide.llm.ngram_join import join_digest
+from newstide.llm.packing import packing_digest
 from newstide.llm.periodic_runs import run_digest
 from newstide.llm.pii import find_pii
 from newstide.llm.quality import quality_digest
@@ -71,6 +72,12 @@ def op12_word_runs(spark: SparkSession, folder: str) -> DataFrame:
     return run_digest(read_table(spark, folder, "documents"))
 
 
+def op13_stock_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from public_tokenizers import path  # vocabulary files are not part of the library
+
+    return packing_digest(read_table(spark, folder, "documents"), path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -86,6 +93,7 @@ QUERIES: dict[str, Query] = {
         op10_suffix_repeats,
         op11_bit_sliced_weights,
         op12_word_runs,
+        op13_stock_packing,
     )
 }
 
