@@ -19,7 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from newstide.workspace import stage
 
 # Unicode's white space, which byte-level tokenizers split at.
 _SPACE = "\t-\r \x85\xa0  -     　"
-_CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+_CHUNK = re.compile(f"[{_SPACE}]*[A-Za-z]+(?=[.,;:!?{_SPACE}])|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _BREAK = re.compile(f"(?<=[^{_SPACE}])(?=[{_SPACE}])")
 
 
@@ -43,7 +43,7 @@ class PackingLimits:
 
     size: int = 1024
     end: int = 0
-    remembered: int = 1 << 17
+    remembered: int = 1 << 18
     chunk: int = 32
     piece: int = 1 << 20
     broadcast_bytes: int = 32 << 20
@@ -52,8 +52,9 @@ class PackingLimits:
 class ChunkEncoder:
     """Token ids, as little-endian 32-bit numbers, of texts.
 
-    A byte-level tokenizer never joins what stands before white space with it, so a text may
-    be cut there, and chunks met before need no second look. Special strings hold no space.
+    A byte-level tokenizer never joins what stands before white space with it, nor letters with
+    a full stop or comma after them, so a text may be cut there, and chunks met before need no
+    second look. Special strings hold neither.
     """
 
     def __init__(self, file: str, limits: PackingLimits):
@@ -61,33 +62,73 @@ class ChunkEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core
         self.tokenizer, self.limits = Tokenizer.from_file(file), limits
+        self.spaces = {chr(i) for i in range(0x3001) if not re.match(f"[^{_SPACE}]", chr(i))}
         self.known: dict[str, bytes] = {}
-
-    def _encoded(self, chunks: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _piece(self, text: str) -> bytes:
-        chunks = _CHUNK.findall(text)
-        new = [c for c in dict.fromkeys(chunks) if c not in self.known]
-        if len(self.known) + len(new) > self.limits.remembered:
-            self.known.clear()
-            new = list(dict.fromkeys(chunks))
-        self.known.update(zip(new, self._encoded(new)))
-        ids = b"".join(map(self.known.__getitem__, chunks))
+        self.earlier: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():  # a character of a byte-level token is a byte
+            self.sizes[i] = len(token)
+
+    def _encode(self, texts: list[str]):
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Encode chunks not known yet: those that start with white space as one text, which
+        is cheapest and cut again by the bytes of its tokens; others one by one."""
+        apart = [c for c in chunks if c[0] not in self.spaces or c[-1] in self.spaces]
+        for chunk, e in zip(apart, self._encode(apart)):
+            self.known[chunk] = np.array(e.ids, "<u4").tobytes()
+        joined = [c for c in chunks if c not in self.known]
+        if joined:
+            ids = np.array(self._encode(["".join(joined)])[0].ids, "<u4")
+            ends = np.cumsum(self.sizes[ids])
+            lengths = [len(c) if c.isascii() else len(c.encode()) for c in joined]
+            stops = (np.searchsorted(ends, np.cumsum(lengths)) + 1) * 4
+            data, start = ids.tobytes(), 0
+            for chunk, stop in zip(joined, stops.tolist()):
+                self.known[chunk] = data[start:stop]
+                start = stop
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        split = [_CHUNK.findall(text) for text in texts]
+        new = []
+        for chunk in dict.fromkeys(chain.from_iterable(split)):
+            if chunk not in self.known:
+                if chunk in self.earlier:
+                    self.known[chunk] = self.earlier[chunk]
+                else:
+                    new.append(chunk)
+        self._learn(new)
+        ids = [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
         for chunk in new:
             if len(chunk) > self.limits.chunk:
                 del self.known[chunk]
+        if len(self.known) > self.limits.remembered:  # frequent chunks come back from there
+            self.known, self.earlier = {}, self.known
         return ids
 
-    def ids(self, text: str) -> bytes:
-        parts, start = [], 0
-        while start < len(text):
-            cut = _BREAK.search(text, start + self.limits.piece) if len(text) - start > self.limits.piece else None
-            stop = cut.start() if cut else len(text)
-            parts.append(self._piece(text[start:stop]))
-            start = stop
-        return b"".join(parts)
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text; long texts are encoded in pieces, short ones together."""
+        pieces, limit = [], self.limits.piece
+        for n, text in enumerate(texts):
+            start = 0
+            while start < len(text):
+                cut = _BREAK.search(text, start + limit) if len(text) - start > limit else None
+                stop = cut.start() if cut else len(text)
+                pieces.append((n, text[start:stop]))
+                start = stop
+        found: list[list[bytes]] = [[] for _ in texts]
+        at = 0
+        while at < len(pieces):
+            stop, chars = at, 0
+            while stop < len(pieces) and (stop == at or chars + len(pieces[stop][1]) <= limit):
+                chars += len(pieces[stop][1])
+                stop += 1
+            for (n, _), ids in zip(pieces[at:stop], self._together([p for _, p in pieces[at:stop]])):
+                found[n].append(ids)
+            at = stop
+        return [b"".join(parts) for parts in found]
 
 
 def tokenized(docs: DataFrame, text: str, tokenizer: str, names: dict[str, str], limits: PackingLimits) -> DataFrame:
@@ -102,10 +143,9 @@ def tokenized(docs: DataFrame, text: str, tokenizer: str, names: dict[str, str],
         task, full_at, rests = TaskContext.get().partitionId(), 0, Counter()
         for batch in row_batches(batches, 64):
             rows = []
-            for value in batch.column(batch.num_columns - 1).to_pylist():
-                ids = encoder.ids(value) + end
-                full, rest = divmod(len(ids) // 4, limits.size)
-                rows.append((ids, task, full, rest, full_at, rests[rest]))
+            for ids in encoder.ids(batch.column(batch.num_columns - 1).to_pylist()):
+                full, rest = divmod(len(ids) // 4 + 1, limits.size)
+                rows.append((ids + end, task, full, rest, full_at, rests[rest]))
                 full_at += full
                 rests[rest] += 1
             kinds = [pa.binary()] + [pa.int64()] * 5
