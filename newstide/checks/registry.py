@@ -303,6 +303,11 @@ def contains_join_by_nested_loop(spark, folder):
     return _pairs(spark, folder, "nested_loop")
 
 
+@check(_PAIRS_SQL)
+def contains_join_by_shuffle(spark, folder):
+    return _pairs(spark, folder, "shuffle")
+
+
 # --- agreement -----------------------------------------------------------------------
 
 _STOCK_OUT = """stock, time_period, number_of_articles, name, round(sentiment, 6) AS sentiment,

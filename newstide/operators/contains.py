@@ -1,7 +1,7 @@
 """Join articles with every dictionary entry their text contains.
 
-``contains`` offers no key to hash on. Two exact plans are used, and neither
-shuffles an article that comes in enough splits:
+``contains`` offers no key to hash on. Three exact plans are used. The first two broadcast
+the dictionary, which is measured before, and shuffle no article that comes in enough splits:
 
 * few entries: broadcast the dictionary and test each pair (nested loop);
 * many entries: every entry is filed under one of its character n-grams. An
@@ -12,8 +12,13 @@ shuffles an article that comes in enough splits:
   yields, as long as they are few; otherwise under themselves, with n-grams of
   their length added.
 
-The dictionary is measured first. If it is too large to broadcast at once it is
-split by hash into parts that each fit, and the articles are read once per part.
+* a dictionary too large to broadcast: an inverted index, shuffled. Of a text only the
+  n-grams that start at every k-th place are listed; an entry is filed under k n-grams in a
+  row, one of which starts at such a place wherever the entry occurs. Both sides meet by
+  n-gram, and the articles, written once with a row number, meet their candidates by that
+  number, where ``contains`` decides. The articles are read once whatever the dictionary. An
+  n-gram in most texts is spread over several partitions by row number, and no article key
+  can be crowded.
 """
 
 from __future__ import annotations
@@ -32,11 +37,16 @@ class ContainsLimits:
     nested_loop_entries: int = 200
     broadcast_bytes: int = 64 << 20
     row_overhead_bytes: int = 120
+    # For the shuffled index: entries of at least so many characters are filed under n-grams
+    # of that length, of which texts list those at every so-manieth place.
+    classes: tuple[tuple[int, int, int], ...] = ((7, 4, 4), (4, 3, 2), (3, 3, 1), (2, 2, 1), (1, 1, 1))
+    # An n-gram found in every text is about this share of all n-grams listed.
+    grams_per_text: int = 256
 
 
 DEFAULTS = ContainsLimits()
 
-_NEEDLE, _ANCHOR = "_needle", "_anchor"
+_NEEDLE, _ANCHOR, _ENTRY, _ROW, _SALT, _KIND = "_needle", "_anchor", "_entry", "_row", "_salt", "_kind"
 
 
 def _grams(text: Column, n: int) -> Column:
@@ -70,6 +80,88 @@ def _anchored(entries: DataFrame, gram: int, few_short: bool) -> DataFrame:
     return entries.join(anchors, _NEEDLE)
 
 
+def _class_of(length: Column, classes: tuple[tuple[int, int, int], ...]) -> Column:
+    """Index of the class an entry of a length belongs to."""
+    chosen = F.lit(len(classes) - 1)
+    for i in reversed(range(len(classes) - 1)):
+        chosen = F.when(length >= classes[i][0], F.lit(i)).otherwise(chosen)
+    return chosen
+
+
+def _filed(entries: DataFrame, kinds: list[int], limits: ContainsLimits) -> DataFrame:
+    """Entries with ``_kind`` and ``_anchor``, a row per n-gram each is filed under.
+
+    Of the places in an entry where k n-grams in a row can start, the one is taken whose most
+    shared n-gram is shared by the fewest entries.
+    """
+    needle, parts = F.col(_NEEDLE), []
+    for kind in kinds:
+        gram = limits.classes[kind][1]
+        starts = F.sequence(F.lit(1), F.char_length(needle) - gram + 1)
+        parts.append(
+            entries.filter(F.col(_KIND) == kind).select(_NEEDLE, _KIND).distinct()
+            .select("*", F.posexplode(starts).alias("_at", "_start"))
+            .select(_NEEDLE, _KIND, "_at", F.substring(needle, F.col("_start"), F.lit(gram)).alias(_ANCHOR))
+        )
+    pieces = reduce(DataFrame.union, parts)
+    shared = pieces.select(_NEEDLE, _KIND, _ANCHOR).distinct().groupBy(_KIND, _ANCHOR).agg(F.count(F.lit(1)).alias("_n"))
+    # An entry's own n-grams, as many as it has characters.
+    spelled = (
+        pieces.join(shared, [_KIND, _ANCHOR])
+        .groupBy(_NEEDLE, _KIND)
+        .agg(F.array_sort(F.collect_list(F.struct("_at", "_n", _ANCHOR))).alias("_grams"))
+    )
+    step = F.element_at(F.array(*[F.lit(c[2]) for c in limits.classes]), F.col(_KIND) + 1)
+    runs = F.transform(
+        F.sequence(F.lit(1), F.size("_grams") - step + 1),
+        lambda i: F.struct(
+            F.array_max(F.transform(F.slice("_grams", i, step), lambda g: g["_n"])).alias("most"), i.alias("from")
+        ),
+    )
+    best = spelled.select(_NEEDLE, _KIND, "_grams", F.array_min(runs)["from"].alias("_from"))
+    anchors = best.select(
+        _NEEDLE, F.explode(F.array_distinct(F.transform(F.slice("_grams", F.col("_from"), step), lambda g: g[_ANCHOR]))).alias(_ANCHOR)
+    )
+    return entries.join(anchors, _NEEDLE)
+
+
+def _join_by_shuffle(
+    articles: DataFrame, entries: DataFrame, fields: list[str], lengths: list[int], output: list[str], limits: ContainsLimits
+) -> DataFrame:
+    spark = articles.sparkSession
+    classes = limits.classes
+    salts = 1 + int(spark.conf.get("spark.sql.shuffle.partitions")) // limits.grams_per_text
+    kind = _class_of(F.char_length(_NEEDLE), classes)
+    kinds = sorted({next((i for i, c in enumerate(classes) if n >= c[0]), len(classes) - 1) for n in lengths})
+    if not kinds:  # an empty dictionary
+        return articles.limit(0).crossJoin(entries.limit(0)).select(*output)
+    entries = entries.withColumn(_ENTRY, F.monotonically_increasing_id()).withColumn(_KIND, kind)
+    entries = stage(entries, "entries")
+    filed = _filed(entries, kinds, limits).withColumn(
+        _SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    )
+    numbered = stage(articles.withColumn(_ROW, F.monotonically_increasing_id()), "articles")
+    lowered = [F.lower(F.coalesce(F.col(f), F.lit(""))) for f in fields]
+    listed = []
+    for i in kinds:
+        _, gram, step = classes[i]
+        # The look-ahead takes the n-gram, what follows it moves on by the step.
+        pattern = F.lit(f"(?s)(?=(.{{{gram}}})).{{{step}}}")
+        grams = F.concat(*[F.regexp_extract_all(h, pattern, F.lit(1)) for h in lowered])
+        distinct = F.array_distinct(grams)
+        listed.append(F.arrays_zip(F.array_repeat(F.lit(i), F.size(distinct)).alias(_KIND), distinct.alias(_ANCHOR)))
+    # The outer form spares the optimizer's size test, which would cut the text twice.
+    grams = numbered.select(
+        _ROW, F.pmod(F.col(_ROW), F.lit(salts)).cast("int").alias(_SALT), F.inline_outer(F.concat(*listed))
+    ).filter(F.col(_ANCHOR).isNotNull())
+    # Partitioned by article for the removal of repeated candidates and the join after it.
+    candidates = grams.join(filed, [_KIND, _ANCHOR, _SALT]).drop(_KIND, _ANCHOR, _SALT)
+    candidates = candidates.repartition(F.col(_ROW)).dropDuplicates([_ROW, _ENTRY])
+    searched = numbered.select("*", *[h.alias(f"_lower_{i}") for i, h in enumerate(lowered)])
+    found = reduce(lambda a, b: a | b, [F.col(f"_lower_{i}").contains(F.col(_NEEDLE)) for i in range(len(fields))])
+    return searched.join(candidates, _ROW).filter(found).select(*output)
+
+
 def contains_join(
     articles: DataFrame,
     dictionary: DataFrame,
@@ -81,7 +173,8 @@ def contains_join(
     """Inner join on "some field contains the needle", ignoring case.
 
     Gives all columns of both sides, one row per (article, dictionary row). NULL and
-    empty needles match nothing. ``plan`` may force ``"nested_loop"`` or ``"grams"``.
+    empty needles match nothing. ``plan`` may force ``"nested_loop"``, ``"grams"`` or
+    ``"shuffle"``; without it the dictionary's rows and bytes decide.
     """
     wanted = F.lower(F.col(needle))
     entries = stage(
@@ -91,16 +184,20 @@ def contains_join(
         lambda a, b: a + b,
         [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in entries.columns],
     ) + F.lit(limits.row_overhead_bytes)
+    most = max([limits.gram, *[c[0] for c in limits.classes]])
     measured = entries.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes"),
         F.count_if(F.char_length(_NEEDLE) < limits.gram).alias("short"),
-        F.collect_set(F.least(F.char_length(_NEEDLE), F.lit(limits.gram))).alias("lengths"),
+        F.collect_set(F.least(F.char_length(_NEEDLE), F.lit(most))).alias("lengths"),
     ).first()
 
-    parts = max(1, -(-measured["bytes"] // limits.broadcast_bytes))
+    output = articles.columns + dictionary.columns
     if plan is None:
         plan = "nested_loop" if measured["rows"] <= limits.nested_loop_entries else "grams"
+        plan = plan if measured["bytes"] <= limits.broadcast_bytes else "shuffle"
+    if plan == "shuffle":
+        return _join_by_shuffle(articles, entries, fields, measured["lengths"], output, limits)
 
     lowered = [f"_lower_{i}" for i in range(len(fields))]
     haystack = articles.select(
@@ -109,12 +206,11 @@ def contains_join(
     found = reduce(
         lambda a, b: a | b, [F.col(h).contains(F.col(_NEEDLE)) for h in lowered]
     )
-    output = articles.columns + dictionary.columns
 
     if plan == "grams":
         few_short = measured["short"] <= limits.nested_loop_entries
         entries = stage(_anchored(entries, limits.gram, few_short), "anchored")
-        lengths = [limits.gram] if few_short else sorted(measured["lengths"])
+        lengths = [limits.gram] if few_short else sorted({min(n, limits.gram) for n in measured["lengths"]})
         pieces = [_grams(F.col(h), n) for n in lengths for h in lowered]
         if few_short and measured["short"]:
             pieces.append(F.array(F.lit("")))
@@ -125,10 +221,4 @@ def contains_join(
         whole = (F.col(_ANCHOR) == F.col(_NEEDLE)) if not few_short else F.lit(False)
         found = (F.col("_gram") == F.col(_ANCHOR)) & (whole | found)
 
-    def join_part(part: int) -> DataFrame:
-        chosen = entries
-        if parts > 1:
-            chosen = entries.filter(F.pmod(F.xxhash64(*entries.columns), F.lit(parts)) == part)
-        return haystack.join(F.broadcast(chosen), found).select(*output)
-
-    return reduce(DataFrame.union, [join_part(part) for part in range(parts)])
+    return haystack.join(F.broadcast(entries), found).select(*output)

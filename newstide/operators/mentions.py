@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newstide.functions.dates import add_time_period
-from newstide.functions.text import clean_company_name, names_in_text, plain_text, sectors_in_text
+from newstide.functions.text import clean_company_name, plain_text, tokens_of
 from newstide.operators.contains import DEFAULTS, ContainsLimits, contains_join
 from newstide.operators.keys import row_digest
 from newstide.workspace import stage
@@ -68,15 +68,20 @@ def _per_sector(articles: DataFrame, keywords: DataFrame, limits: ContainsLimits
     """Count distinct articles per (sector, month), in one search for all keywords.
 
     The same text on several dates counts once per sector, under its smallest
-    (time_period, date, sentiment). Copies meet by digest, not by text.
+    (time_period, date, sentiment). Copies meet by digest before the search, so each text is
+    searched once, and what is found needs no further move to be told apart.
     """
     keyed = articles.select(
         *FIELDS, "time_period", "date", "sentiment", row_digest(articles, FIELDS).alias("_digest")
     )
-    hits = contains_join(keyed, keywords, FIELDS, "keyword", limits)
+    texts = keyed.groupBy("_digest").agg(
+        F.min(F.struct("time_period", "date", "sentiment")).alias("_article"),
+        *[F.first(f).alias(f) for f in FIELDS],
+    )
+    hits = contains_join(texts, keywords, FIELDS, "keyword", limits)
     return (
-        hits.groupBy("sector", "_digest")
-        .agg(F.min(F.struct("time_period", "date", "sentiment")).alias("_article"))
+        hits.select("sector", "_digest", "_article")
+        .distinct()
         .groupBy("sector", F.col("_article.time_period").alias("time_period"))
         .agg(
             F.count(F.lit(1)).alias("number_of_articles"),
@@ -121,34 +126,20 @@ def explode_sectors_and_aggregate(articles: DataFrame) -> DataFrame:
     return _explode_and_count(articles, "sectors", "sector")
 
 
-def _attach_matches(
-    articles: DataFrame,
-    entries: DataFrame,
-    entry: Column,
-    match,
-    name: str,
-    bytes_per_array: int,
-) -> DataFrame:
-    """Add the array of dictionary entries matching ``_plain``.
+def _token_parts(tokens: DataFrame, parts: DataFrame, limits: ContainsLimits) -> DataFrame:
+    """(token, part): which parts lie inside which of the distinct tokens."""
+    vocabulary = tokens.select("token").distinct()
+    inside = contains_join(vocabulary, parts, ["token"], "part", limits)
+    # The empty part lies in every token; the empty token, which every text is given, tells it.
+    empty = parts.filter(F.col("part") == "").select(F.lit("").alias("token"), "part")
+    return stage(inside.unionByName(empty), "token-parts")
 
-    The dictionary is measured and reaches every article as one-row frames of about
-    ``bytes_per_array`` each; their matches are united.
-    """
-    entries = stage(entries.distinct(), name)
-    size = reduce(lambda a, b: a + b, [F.octet_length(c) + 16 for c in entries.columns])
-    measured = entries.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    parts = max(1, -(-measured // bytes_per_array))
-    found = []
-    for part in range(parts):
-        column = f"_{name}_{part}"
-        one_row = entries.filter(F.pmod(F.xxhash64(*entries.columns), F.lit(parts)) == part).agg(
-            F.collect_set(entry).alias(column)
-        )
-        articles = articles.join(F.broadcast(one_row), how="cross")
-        found.append(match(F.col("_plain"), F.col(column)))
-    united = reduce(F.array_union, found)
-    dropped = [f"_{name}_{part}" for part in range(parts)]
-    return articles.withColumn(name, F.array_sort(united)).drop(*dropped)
+
+def _sized(df: DataFrame, limits: ContainsLimits) -> DataFrame:
+    """``df`` marked for broadcast if its measured strings fit, as it is otherwise."""
+    size = reduce(lambda a, b: a + b, [F.octet_length(c) for c in df.columns]) + F.lit(limits.row_overhead_bytes)
+    measured = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return F.broadcast(df) if measured <= limits.broadcast_bytes else df
 
 
 def add_stocks_sectors_sentiment(
@@ -156,33 +147,57 @@ def add_stocks_sectors_sentiment(
     names: DataFrame,
     sectors: DataFrame,
     sentiment: Column | None = None,
-    bytes_per_array: int = 8 << 20,
+    limits: ContainsLimits = DEFAULTS,
 ) -> DataFrame:
     """Per article the arrays of company names and sectors its tokens contain.
 
-    ``names`` holds ``companyname``, ``sectors`` is the wide keyword table. The
-    score is the given column, by default the constant 0.5 for any text.
+    A name is found if it lies inside one token, a sector if every part of one of its
+    keywords, split at spaces, lies inside some token. ``names`` holds ``companyname``,
+    ``sectors`` is the wide keyword table. The score is the given column, by default the
+    constant 0.5 for any text.
+
+    The distinct tokens are searched for the distinct parts; articles then meet parts by
+    token, and keywords by part: an article has a keyword if as many of its parts were found
+    as there are. Matches go by the digest of the three fields, so copies are matched once.
     """
     plain = plain_text(*[F.col(f) for f in FIELDS])
-    dated = add_time_period(articles).withColumn("_plain", plain)
-    score = sentiment if sentiment is not None else F.when(F.col("_plain").isNotNull(), F.lit(0.5))
-    with_names = _attach_matches(
-        dated,
-        # Tokens are lower-case ASCII letters and digits: no other name can match.
-        names.select("companyname").filter(F.lower("companyname").rlike("^[a-z0-9]*$")),
-        F.col("companyname"),
-        names_in_text,
-        "stocks",
-        bytes_per_array,
+    dated = add_time_period(articles)
+    score = sentiment if sentiment is not None else F.when(plain.isNotNull(), F.lit(0.5))
+    base = dated.select(
+        "title", "unix", "time_period", score.alias("sentiment"), row_digest(dated, FIELDS).alias("_digest")
+    )
+    # One article at a time holds its tokens; a text of spaces has the empty token as well.
+    listed = F.array_union(tokens_of(plain), F.array(F.lit("")))
+    tokens = stage(
+        articles.select(row_digest(articles, FIELDS).alias("_digest"), F.explode_outer(listed).alias("token"))
+        .filter(F.col("token").isNotNull()),
+        "tokens",
     )
-    with_sectors = _attach_matches(
-        with_names,
-        sector_keywords(sectors),
-        F.struct("sector", "keyword"),
-        sectors_in_text,
-        "sectors",
-        bytes_per_array,
+    # Tokens are lower-case ASCII letters and digits: nothing else lies inside one.
+    possible = F.col("part").rlike("^[a-z0-9]*$")
+    wanted_names = names.select(F.lower("companyname").alias("part"), F.col("companyname").alias("stock")).filter(possible)
+    wanted_names = stage(wanted_names.distinct(), "names")
+    keywords = sector_keywords(sectors).withColumn("parts", F.array_distinct(F.split(F.lower("keyword"), " ", -1)))
+    wanted_parts = keywords.select("sector", "keyword", F.size("parts").alias("n"), F.explode("parts").alias("part"))
+    wanted_parts = stage(wanted_parts, "keyword-parts")
+
+    parts = wanted_names.select("part").union(wanted_parts.select("part").filter(possible)).distinct()
+    found = _sized(_token_parts(tokens, parts, limits), limits)
+    # Copies of a text and repeated tokens collapse before the parts move.
+    met = stage(tokens.join(found, "token").select("_digest", "part").distinct(), "article-parts")
+    stocks = (
+        met.join(_sized(wanted_names, limits), "part").groupBy("_digest").agg(F.array_sort(F.collect_set("stock")).alias("stocks"))
     )
-    return with_sectors.select(
-        "title", "unix", "time_period", "stocks", "sectors", score.alias("sentiment")
+    whole = met.join(wanted_parts, "part").groupBy("_digest", "sector", "keyword").agg(
+        F.count(F.lit(1)).alias("found"), F.min("n").alias("n")
+    )
+    named = whole.filter("found = n").groupBy("_digest").agg(F.array_sort(F.collect_set("sector")).alias("sectors"))
+    none = F.array().cast("array<string>")
+    return (
+        base.join(stocks, "_digest", "left")
+        .join(named, "_digest", "left")
+        .select(
+            "title", "unix", "time_period",
+            F.coalesce("stocks", none).alias("stocks"), F.coalesce("sectors", none).alias("sectors"), "sentiment",
+        )
     )

@@ -34,13 +34,13 @@ def random_words(seed, n, longest, letters="abAé "):
     return ["".join(rng.choice(letters) for _ in range(rng.randint(0, longest))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("plan", ["nested_loop", "grams"])
+@pytest.mark.parametrize("plan", ["nested_loop", "grams", "shuffle"])
 @pytest.mark.parametrize(
     "limits",
     [
         ContainsLimits(),
         ContainsLimits(gram=3, nested_loop_entries=2),
-        ContainsLimits(gram=5, broadcast_bytes=2000),
+        ContainsLimits(gram=5, classes=((6, 3, 3), (1, 1, 1)), grams_per_text=2),
     ],
 )
 def test_contains_join_equals_brute_force(spark, rows, plan, limits):
@@ -65,7 +65,7 @@ def test_contains_join_equals_brute_force(spark, rows, plan, limits):
 def test_no_match_across_fields(spark, rows):
     articles = spark.createDataFrame([(1, "north", "star rises")], "id int, a string, b string")
     words = spark.createDataFrame([("northstar",), ("north s",), ("NORTH",), ("star ri",)], "needle string")
-    for plan in ("nested_loop", "grams"):
+    for plan in ("nested_loop", "grams", "shuffle"):
         found = contains_join(articles, words, ["a", "b"], "needle", plan=plan)
         assert rows(found, "needle") == [("NORTH",), ("star ri",)]
 
@@ -81,6 +81,36 @@ def test_one_text_in_most_rows(spark, rows):
     assert rows(found) == [("ds 17", sum(expected)), ("same words", 1000), ("words", 3000)]
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_large_dictionary_is_shuffled_and_articles_are_read_once(spark, rows, tmp_path):
+    """Whatever the dictionary, the search holds no read of the articles' own files: they were
+    written once, with row numbers, and it reads that copy for n-grams and for the test."""
+    path, limits = str(tmp_path / "articles"), ContainsLimits(broadcast_bytes=1000, nested_loop_entries=5)
+    texts = random_words(3, 200, 60, "abcde ")
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string").write.parquet(path)
+    scans = []
+    for n in (90, 600):  # entries of all lengths in both
+        needles = random_words(n, n, 9, "abcde ")
+        words = spark.createDataFrame([(w, i % 7) for i, w in enumerate(needles)], "needle string, extra int")
+        found = contains_join(spark.read.parquet(path), words, ["t"], "needle", limits)
+        plan = plan_of(found)
+        assert path not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+        scans.append(plan.count("FileScan"))
+        expected = sorted((i, w, k % 7) for i, t in enumerate(texts) for k, w in enumerate(needles) if w and w in t)
+        assert rows(found, "id", "needle", "extra") == expected
+    assert scans[0] == scans[1]
+
+
+def test_no_entries_no_pairs(spark):
+    articles = spark.createDataFrame([("x",)], "t string")
+    for plan in ("nested_loop", "grams", "shuffle"):
+        none = contains_join(articles, spark.createDataFrame([("",), (None,)], "needle string"), ["t"], "needle", plan=plan)
+        assert none.columns == ["t", "needle"] and none.count() == 0
+
+
 # --- mentions -------------------------------------------------------------------
 
 
@@ -145,8 +175,8 @@ def test_array_forms(spark, rows):
     )
     names = spark.createDataFrame([("Apple",), ("Pear",), ("Tree Co",), (None,)], "companyname string")
     sectors = spark.createDataFrame([("oil",), ("apple oil",)], "Energy string")
-    for size in (1, 8 << 20):
-        found = add_stocks_sectors_sentiment(news, names, sectors, bytes_per_array=size)
+    for limits in (ContainsLimits(), ContainsLimits(broadcast_bytes=0)):
+        found = add_stocks_sectors_sentiment(news, names, sectors, limits=limits)
         assert rows(found, "title", "time_period", "stocks", "sectors", "sentiment") == [
             ("Apple tree", "2020-01", ["Apple"], ["Energy"], 0.5),
             ("nothing", None, [], [], 0.5),
@@ -155,6 +185,36 @@ def test_array_forms(spark, rows):
     assert rows(explode_sectors_and_aggregate(found)) == [("Energy", "2020-01", 1, 0.5)]
 
 
+def test_arrays_of_awkward_texts(spark, rows):
+    """Copies, no text at all, spaces only, empty parts, parts inside tokens, repeated parts."""
+    news = spark.createDataFrame(
+        [article("Pineapple, oil!", None, date="2020-01-05")] * 2 + [article(None, None, date=None), article("  ", "", date="bad")], NEWS
+    )
+    names = spark.createDataFrame([("apple",), ("Apple",), ("",), ("a b",), ("né",)], "companyname string")
+    sectors = spark.createDataFrame(
+        [("oil  pine", "oil oil", "gas oil"), ("x", " ", "é")], "Double string, Empty string, Never string"
+    )
+    found = add_stocks_sectors_sentiment(news, names, sectors)
+    assert rows(found, "title", "stocks", "sectors", "sentiment") == [
+        (None, [], [], None),
+        ("  ", [""], ["Empty"], 0.5),
+        ("Pineapple, oil!", ["", "Apple", "apple"], ["Double", "Empty"], 0.5),
+        ("Pineapple, oil!", ["", "Apple", "apple"], ["Double", "Empty"], 0.5),
+    ]
+    plan = plan_of(found)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "SinglePartition" not in plan
+
+
+def test_sector_search_reads_each_text_once(spark):
+    """Copies meet by digest below the search."""
+    news = spark.createDataFrame([article("oil", "t")] * 3, NEWS)
+    sectors = spark.createDataFrame([("oil",)], "Energy string")
+    plan = plan_of(sector_mentions(news, sectors))
+    above, below = plan.split("NestedLoop", 1)
+    assert above.count("Exchange") == 1  # of counts per sector and month
+    assert "first(title" in below and below.count("Exchange hashpartitioning(_digest") == 1
+
+
 def test_articles_without_sentences_vanish(spark, rows):
     news = spark.createDataFrame([article("Good gains", "x", date="d"), article("", None), article(None, "?!")], NEWS)
     assert rows(add_sentiment(news), "title", "date", "sentiment") == [("Good gains", "d", 1.0)]
