@@ -19,7 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate, chain
+from itertools import accumulate, chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +30,10 @@ from newstide.llm.common import bounded_batches, private, row_batches
 from newstide.llm.cutting_stock import Pattern, plan_patterns
 from newstide.workspace import stage
 
-# Unicode's white space, which byte-level tokenizers split at.
-_SPACE = "\t-\r \x85\xa0  -     　"
-_CHUNK = re.compile(f"[{_SPACE}]*[A-Za-z]+(?=[.,;:!?{_SPACE}])|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-_BREAK = re.compile(f"(?<=[^{_SPACE}])(?=[{_SPACE}])")
+# Byte-level tokenizers split at Unicode's white space; Python also counts four separators.
+_SPACE, _OTHER = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
+_CHUNK = re.compile(rf"{_SPACE}*[A-Za-z]+(?=[.,;:!? \n])|{_SPACE}*{_OTHER}+|{_SPACE}+")
+_BREAK = re.compile(f"(?<={_OTHER})(?={_SPACE})")
 
 
 @dataclass(frozen=True)
@@ -62,7 +62,7 @@ class ChunkEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core
         self.tokenizer, self.limits = Tokenizer.from_file(file), limits
-        self.spaces = {chr(i) for i in range(0x3001) if not re.match(f"[^{_SPACE}]", chr(i))}
+        self.spaces = {chr(i) for i in range(0x3001) if re.match(_SPACE, chr(i))}
         self.known: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
@@ -76,29 +76,25 @@ class ChunkEncoder:
     def _learn(self, chunks: list[str]) -> None:
         """Encode chunks not known yet: those that start with white space as one text, which
         is cheapest and cut again by the bytes of its tokens; others one by one."""
-        apart = [c for c in chunks if c[0] not in self.spaces or c[-1] in self.spaces]
+        spaces, joined, apart = self.spaces, [], []
+        for chunk in chunks:
+            (joined if chunk[0] in spaces and chunk[-1] not in spaces else apart).append(chunk)
         for chunk, e in zip(apart, self._encode(apart)):
             self.known[chunk] = np.array(e.ids, "<u4").tobytes()
-        joined = [c for c in chunks if c not in self.known]
         if joined:
             ids = np.array(self._encode(["".join(joined)])[0].ids, "<u4")
             ends = np.cumsum(self.sizes[ids])
             lengths = [len(c) if c.isascii() else len(c.encode()) for c in joined]
-            stops = (np.searchsorted(ends, np.cumsum(lengths)) + 1) * 4
-            data, start = ids.tobytes(), 0
-            for chunk, stop in zip(joined, stops.tolist()):
-                self.known[chunk] = data[start:stop]
-                start = stop
+            stops = ((np.searchsorted(ends, np.cumsum(lengths)) + 1) * 4).tolist()
+            data = ids.tobytes()
+            self.known.update(zip(joined, map(data.__getitem__, map(slice, [0, *stops], stops))))
 
     def _together(self, texts: list[str]) -> list[bytes]:
         split = [_CHUNK.findall(text) for text in texts]
-        new = []
-        for chunk in dict.fromkeys(chain.from_iterable(split)):
-            if chunk not in self.known:
-                if chunk in self.earlier:
-                    self.known[chunk] = self.earlier[chunk]
-                else:
-                    new.append(chunk)
+        missing = list(filterfalse(self.known.__contains__, dict.fromkeys(chain.from_iterable(split))))
+        again = list(filter(self.earlier.__contains__, missing))
+        self.known.update(zip(again, map(self.earlier.__getitem__, again)))
+        new = list(filterfalse(self.earlier.__contains__, missing))
         self._learn(new)
         ids = [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
         for chunk in new:
@@ -141,7 +137,7 @@ def tokenized(docs: DataFrame, text: str, tokenizer: str, names: dict[str, str],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = ChunkEncoder(tokenizer, limits), np.array([limits.end], "<u4").tobytes()
         task, full_at, rests = TaskContext.get().partitionId(), 0, Counter()
-        for batch in row_batches(batches, 64):
+        for batch in row_batches(batches, 1024):
             rows = []
             for ids in encoder.ids(batch.column(batch.num_columns - 1).to_pylist()):
                 full, rest = divmod(len(ids) // 4 + 1, limits.size)
@@ -177,7 +173,7 @@ def packed_pieces(
     text: a document of one id. Rows are packed one by one, repeated ones, ties in length and
     rows of equal or NULL keys too; an empty table gives no rows. Input columns named like the
     new ones give way. The order of documents in sequences follows the table's partitions. A
-    task holds the ids of 64 texts; the driver a number per length and a few thousand patterns.
+    task holds the ids of an Arrow batch; the driver a number per length and a few thousand patterns.
     """
     size = limits.size
     names = {n: private(n) for n in ("ids", "task", "full", "rest", "full_at", "rest_at")}
@@ -194,6 +190,7 @@ def packed_pieces(
         coded.groupBy(task.alias("task"), rest.alias("len"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(full).alias("full"))
     )
+    counted = stage(counted, "piece-counts")
     wholes = counted.groupBy("task").agg(F.sum("full").alias("n")).select("task", F.lit(0).cast("long").alias("len"), "n")
     rests = counted.filter("len > 0").select("task", "len", "n")
     before = F.sum("n").over(Window.partitionBy("len").orderBy("task")) - F.col("n")
