@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from newstide.workspace import stage
+
 
 def _spelled(df: DataFrame, name: str) -> Column:
     value = F.col(name)
@@ -46,24 +50,68 @@ def digests(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(row_digest(df, columns).alias(_DIGEST))
 
 
-def rows_not_among(batch: DataFrame, known: DataFrame, columns: list[str]) -> DataFrame:
+@dataclass(frozen=True)
+class FilterLimits:
+    """Bits per arriving digest, and bytes the bits may take; more digests share them."""
+
+    bits_per_row: int = 32
+    most_bytes: int = 64 << 20
+
+
+_BLOCK = 1 << 15  # bits per row of the filter
+_PROBES = 2
+
+
+def _probe(digest: Column, which: int, bits: int) -> tuple[Column, Column]:
+    """(row of the filter, bit in it) of four bytes of the digest."""
+    number = F.conv(F.hex(F.substring(digest, 1 + 4 * which, 4)), 16, 10).cast("long")
+    place = F.pmod(number, F.lit(bits))
+    return F.floor(place / _BLOCK).cast("int"), place % _BLOCK
+
+
+def possibly_among(known: DataFrame, arriving: DataFrame, limits: FilterLimits = FilterLimits()) -> DataFrame:
+    """Rows of ``known`` whose digest may be among the ``arriving`` ones.
+
+    A Bloom filter of the arriving digests, made by partial bitmaps, is broadcast to where the
+    known ones are read; of the others 1 in 250 passes. Its size follows the batch up to
+    ``most_bytes``; beyond that it lets more pass and is still right.
+    """
+    arriving = stage(arriving.select(_DIGEST).distinct(), "arriving-digests")
+    bits = _BLOCK
+    while bits < limits.bits_per_row * arriving.count() and bits < 8 * limits.most_bytes:
+        bits *= 2
+    places = [F.struct(*[c.alias(n) for c, n in zip(_probe(F.col(_DIGEST), i, bits), ("row", "bit"))]) for i in range(_PROBES)]
+    rows = arriving.select(F.inline(F.array(*places))).groupBy("row").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    rows = stage(rows, "digest-filter")
+    for i in range(_PROBES):
+        row, bit = _probe(F.col(_DIGEST), i, bits)
+        probed = known.join(F.broadcast(rows), row == F.col("row"))
+        byte = F.conv(F.hex(F.substring("bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        known = probed.filter(F.getbit(byte, (bit % 8).cast("int")) == 1).drop("row", "bits")
+    return known
+
+
+def rows_not_among(batch: DataFrame, known: DataFrame, columns: list[str], prefilter: bool = False) -> DataFrame:
     """Rows of ``batch`` whose digest of ``columns`` is not ``known``, one per digest.
 
     Copies within the batch collapse before the shuffle; the batch then moves once,
-    and the join finds it already partitioned by digest.
+    and the join finds it already partitioned by digest. With ``prefilter``, for a long
+    history, of the known digests only those that may be in the batch are moved.
     """
-    arriving = one_per_key(batch.withColumn(_DIGEST, row_digest(batch, columns)), [_DIGEST])
-    return arriving.join(known, _DIGEST, "left_anti").select(*batch.columns)
+    digested = batch.withColumn(_DIGEST, row_digest(batch, columns))
+    if prefilter:
+        known = possibly_among(known, digested)
+    return one_per_key(digested, [_DIGEST]).join(known, _DIGEST, "left_anti").select(*batch.columns)
 
 
-def new_rows(batch: DataFrame, stored: DataFrame, columns: list[str]) -> DataFrame:
+def new_rows(batch: DataFrame, stored: DataFrame, columns: list[str], prefilter: bool = False) -> DataFrame:
     """Rows of ``batch`` whose ``columns`` occur in no stored row, one per value.
 
     NULL equals NULL. With all columns this is ``EXCEPT DISTINCT``.
     """
-    return rows_not_among(batch, digests(stored, columns), columns)
+    return rows_not_among(batch, digests(stored, columns), columns, prefilter)
 
 
 def new_articles(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Distinct articles of the batch that are not stored yet, comparing every column."""
-    return new_rows(batch, stored, batch.columns)
+    return new_rows(batch, stored, batch.columns, prefilter=True)

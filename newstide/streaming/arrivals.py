@@ -22,14 +22,15 @@ def analyse_arrivals(
 ) -> None:
     """Fold every article file not seen before into the tables, then stop.
 
-    Prices are folded in up front, so that the batches of one run share them. A batch
-    delivered twice changes nothing: its articles are no longer new.
+    Prices are folded in up front, so that the batches of one run share them. The number of
+    a batch is stored with it, so one that the stream delivers again after a failure is
+    skipped before anything is searched; articles that come in another batch again are not new.
     """
     if ticks is not None:
         analyse(tables, sectors, companies, ticks=ticks, limits=limits)
 
-    def fold(batch: DataFrame, _: int) -> None:
-        analyse(tables, sectors, companies, articles=batch, limits=limits)
+    def fold(batch: DataFrame, number: int) -> None:
+        analyse(tables, sectors, companies, articles=batch, limits=limits, delivery=(checkpoint, number))
 
     query = (
         spark.readStream.schema(SCORED_ARTICLES)

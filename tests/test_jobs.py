@@ -219,3 +219,45 @@ def test_arriving_files(spark, tmp_path, rows):
     articles.write.mode("append").parquet(arrivals)  # holds the first article again
     assert fold(None) == [("A", 2)]
     assert fold(None) == [("A", 2)]
+
+
+def test_a_batch_the_stream_delivers_again_is_not_searched(spark, tmp_path, rows, monkeypatch):
+    """The run is lost after the tables are complete and before the stream knows it."""
+    import newstide.plans.analyse as job
+    import newstide.streaming.arrivals as arrivals
+
+    sectors, companies, articles, ticks = inputs(spark, "Apple", "Apple two")
+    folder, tables = str(tmp_path / "arrivals"), ResultTables(spark, str(tmp_path / "r"))
+    articles.write.parquet(folder)
+    whole = arrivals.analyse
+
+    def lost_afterwards(*args, **named):
+        outcome = whole(*args, **named)
+        if "articles" in named:
+            raise RuntimeError("lost")
+        return outcome
+
+    def fold(prices):
+        analyse_arrivals(spark, folder, str(tmp_path / "ck"), tables, sectors, companies, prices)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(arrivals, "analyse", lost_afterwards)
+        try:
+            fold(ticks)
+        except Exception as error:
+            assert "lost" in str(error)
+    before = tables.last_batch()
+    assert rows(tables.current()["stock_corr"], "number_of_articles") == [(2,)]
+
+    def no_search(*_):
+        raise AssertionError("searched again")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(job, "stock_mentions", no_search)
+        patch.setattr(job, "rows_not_among", no_search)
+        fold(None)
+    assert tables.last_batch() == before
+    assert tables.delivered((str(tmp_path / "ck"), 0)) and not tables.delivered((str(tmp_path / "ck"), 1))
+    spark.createDataFrame([article("Apple three")], SCORED_ARTICLES).write.mode("append").parquet(folder)
+    fold(None)
+    assert rows(tables.current()["stock_corr"], "number_of_articles") == [(3,)]

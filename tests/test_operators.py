@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newstide.operators import agreement, upsert
 from newstide.operators.contains import ContainsLimits, contains_join
-from newstide.operators.keys import new_articles, one_per_key
+from newstide.operators.keys import FilterLimits, digests, new_articles, one_per_key, possibly_among, rows_not_among
 from newstide.operators.mentions import (
     add_stocks_sectors_sentiment,
     explode_sectors_and_aggregate,
@@ -304,6 +304,22 @@ def test_new_articles_is_except_distinct(spark, rows):
     assert new_articles(batch, stored).count() == 3
 
 
+def test_history_is_filtered_where_it_is_read(spark, rows, tmp_path):
+    """Known digests meet the batch's bits before any exchange; nothing known is missed."""
+    known, batch = spark.range(0, 20_000, numPartitions=4), spark.range(19_900, 20_200, numPartitions=2)
+    digests(known, ["id"]).write.parquet(str(tmp_path / "known"))
+    stored = spark.read.parquet(str(tmp_path / "known"))
+    fresh = rows_not_among(batch, stored, ["id"], prefilter=True)
+    assert rows(fresh) == [(i,) for i in range(20_000, 20_200)]
+    passed = possibly_among(stored, digests(batch, ["id"]))
+    assert "Exchange hashpartitioning" not in plan_of(passed)
+    assert 100 <= passed.count() < 400
+    crowded = possibly_among(stored, digests(batch, ["id"]), FilterLimits(bits_per_row=1, most_bytes=1))
+    assert 100 <= crowded.count()
+    assert rows_not_among(batch, stored.limit(0), ["id"], prefilter=True).count() == 300
+    assert rows_not_among(batch.limit(0), stored, ["id"], prefilter=True).count() == 0
+
+
 def test_one_per_key(spark, rows):
     df = spark.createDataFrame([(1, "b", 1), (1, "a", 2), (1, "a", 1), (None, "x", 0)], "k int, v string, w int")
     assert rows(one_per_key(df, ["k"])) == [(None, "x", 0), (1, "a", 1)]

@@ -11,6 +11,7 @@ from newstide.sources.dimensions import read_companies_csv, read_sectors_csv
 from newstide.sources.optional import or_none
 from newstide.sources.prices import PriceLayout, price_schema, read_prices_csv, read_prices_json
 from newstide.sources.sinks import write_articles_csv, write_prices_csv
+from newstide.operators.upsert import upsert
 from newstide.sources.tables import StoredTable
 
 
@@ -126,5 +127,47 @@ def test_stored_tables(spark, tmp_path, rows):
         assert rows(table.open_or_none()) == after
         assert rows(table.open_or_none(up_to=1)) == [(1,), (2,)]
         # a folder whose job did not finish does not count
-        (tmp_path / f"t{append_only}" / "v=000003").mkdir()
+        (tmp_path / f"t{append_only}" / "v=000003-lost").mkdir()
         assert table.versions() == [1, 2]
+
+
+def test_fifty_batches_stay_few_folders(spark, tmp_path, rows):
+    table = StoredTable(spark, str(tmp_path / "t"), spark.range(1).schema, append_only=True, most_folders=4)
+    for version in range(1, 51):
+        table.publish(spark.range(version, version + 1, numPartitions=1), version)
+        if version == 30:
+            older = table.open_or_none()
+        if version == 31:
+            table.drop_superseded(version)
+            # whoever holds the list before goes on reading
+            assert rows(older) == [(i,) for i in range(1, 31)]
+        table.drop_superseded(version)
+        assert len(table.latest().folders) <= 4
+    assert rows(table.open_or_none()) == [(i,) for i in range(1, 51)]
+    live = {f for v in table.versions()[-2:] for f, _, _ in table.listed(v).folders}
+    assert {p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("v=")} == live
+
+
+def test_an_update_of_one_key_rewrites_one_part(spark, tmp_path, rows):
+    schema = "k string, n bigint"
+    table = StoredTable(spark, str(tmp_path / "t"), spark.createDataFrame([], schema).schema, keys=("k",), shards=8)
+    table.publish(spark.createDataFrame([(str(i), i) for i in range(100)] + [(None, -1)], schema), 1)
+    before = set(table.latest().folders)
+    assert len(before) == 8
+
+    def merge(stored, update):
+        return upsert(stored, update, ["k"], {"n": "arriving.n + stored.n"})
+
+    table.upsert(spark.createDataFrame([("7", 1000)], schema), 2, merge)
+    after = set(table.latest().folders)
+    assert len(before - after) == len(after - before) == 1
+    expected = {**{str(i): i for i in range(100)}, None: -1, "7": 1007}
+    assert {r.k: r.n for r in table.open_or_none().collect()} == expected
+    table.upsert(spark.createDataFrame([(None, 5), ("new", 3)], schema), 3, merge)
+    assert {r.k: r.n for r in table.open_or_none().collect()} == {**expected, None: 4, "new": 3}
+    assert {r.k: r.n for r in table.open_or_none(up_to=2).collect()} == expected
+    table.drop_superseded(3)
+    assert table.versions() == [2, 3] and table.open_or_none(up_to=2).count() == 101
+    # an empty update takes everything over
+    table.upsert(spark.createDataFrame([], schema), 4, merge)
+    assert set(table.latest().folders) == set(table.listed(3).folders)
