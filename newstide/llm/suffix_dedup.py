@@ -9,7 +9,7 @@ logarithmic time for the merge sort. Common extensions to the right of an anchor
 of what stands to its left, then tell which whole strings are equal; equal hashes are
 verified on the bytes.
 
-Spark deals documents out into chunks by their id and anchors into buckets by their hash.
+Spark deals documents out into chunks by id and text and anchors into buckets by their hash.
 What moves is the documents once, 8 bytes per anchor, and the surroundings of anchors that
 occur in several documents. Anchors of very many documents are replaced by the whole strings
 around them, of which a chunk sends each once, so that no bucket gathers one anchor's all
@@ -18,6 +18,7 @@ surroundings.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -111,6 +112,21 @@ def _texts(table: pa.Table, limits: RepeatLimits):
             yield doc, np.frombuffer(data, np.uint8)
 
 
+def _parts(table: pa.Table) -> list[int]:
+    """Which of the texts of its id each row of a chunk holds, 0 where an id has one text.
+
+    Rows may share an id, or have none; a place says in its upper half in which text it is.
+    """
+    docs, texts = table.column("doc").to_pylist(), table.column("data").to_pylist()
+    shared = {doc for doc, n in Counter(docs).items() if n > 1}
+    known: dict[int, set[bytes]] = {doc: set() for doc in shared}
+    for doc, data in zip(docs, texts):
+        if doc in shared:
+            known[doc].add(data)
+    order = {doc: {data: i for i, data in enumerate(sorted(found))} for doc, found in known.items()}
+    return [order[doc][data] if doc in shared else 0 for doc, data in zip(docs, texts)]
+
+
 def _blobs(schema: list[tuple], rows: list[tuple]) -> pa.Table:
     columns = list(zip(*rows)) if rows else [[] for _ in schema]
     return pa.table({n: pa.array(list(c), k) for (n, k), c in zip(schema, columns)})
@@ -239,7 +255,9 @@ def chunk_suffixes(limits: RepeatLimits, buckets: int):
         order = np.argsort(repeated)
         repeated, hot = repeated[order], hot[order]
         parts = []
-        for doc, data in _texts(table, limits):
+        long = [len(data) >= limits.length for data in table.column("data").to_pylist()]
+        which = [part for part, use in zip(_parts(table), long) if use]
+        for part, (doc, data) in zip(which, _texts(table, limits)):
             found = _suffixes(data, repeated, powers, limits)
             if found is None:
                 continue
@@ -248,7 +266,7 @@ def chunk_suffixes(limits: RepeatLimits, buckets: int):
             kept = [(at[~much], marks[~much], masks[~much], bodies[~much])]
             if much.any():
                 kept.append(_whole_strings(at[much], masks[much], bodies[much], limits, powers))
-            parts += [(np.full(len(p[0]), doc, np.int64), *p) for p in kept]
+            parts += [(np.full(len(p[0]), doc, np.int64), p[0] + (part << 32), *p[1:]) for p in kept]
         if not parts:
             return _blobs(_SUFFIXES, [])
         docs, at, marks, masks, bodies = (np.concatenate(c) for c in zip(*parts))
@@ -259,7 +277,7 @@ def chunk_suffixes(limits: RepeatLimits, buckets: int):
         first = np.full(same.max() + 1, _NO_ID)
         np.minimum.at(first, same, docs)
         later = docs > first[same]
-        rows = [(chunk % buckets, chunk, None, None, masks[later].tobytes(), docs[later].tobytes(), at[later].astype("<i4").tobytes())]
+        rows = [(chunk % buckets, chunk, None, None, masks[later].tobytes(), docs[later].tobytes(), at[later].astype("<i8").tobytes())]
         sent = np.flatnonzero(~later)
         bucket = ((marks[sent] >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
@@ -267,7 +285,7 @@ def chunk_suffixes(limits: RepeatLimits, buckets: int):
         for b, s in _split(bucket):
             i = sent[s]
             rows.append(
-                (b, chunk, marks[i].tobytes(), _packed(bodies[i]), masks[i].tobytes(), docs[i].tobytes(), at[i].astype("<i4").tobytes())
+                (b, chunk, marks[i].tobytes(), _packed(bodies[i]), masks[i].tobytes(), docs[i].tobytes(), at[i].astype("<i8").tobytes())
             )
         return _blobs(_SUFFIXES, rows)
 
@@ -395,7 +413,7 @@ def bucket_suffixes(limits: RepeatLimits, block: int = 40_000):
                 (
                     np.full(len(marks), row["chunk"]), marks, _unpacked(row["bodies"], len(marks), wide),
                     np.frombuffer(row["masks"], np.uint64), np.frombuffer(row["docs"], np.int64),
-                    np.frombuffer(row["places"], "<i4"),
+                    np.frombuffer(row["places"], "<i8"),
                 )
             )
         if not parts:
@@ -429,18 +447,21 @@ def chunk_kept(limits: RepeatLimits):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table, found: pa.Table) -> pa.Table:
         columns = {
             name: np.concatenate([np.empty(0, kind), *[np.frombuffer(x, kind) for x in found.column(name).to_pylist()]])
-            for name, kind in (("docs", np.int64), ("places", "<i4"), ("masks", np.uint64))
+            for name, kind in (("docs", np.int64), ("places", "<i8"), ("masks", np.uint64))
         }
         order = np.argsort(columns["docs"], kind="stable")
         docs, places, masks = (columns[n][order] for n in ("docs", "places", "masks"))
         rows = []
-        for doc, data in zip(table.column("doc").to_pylist(), table.column("data").to_pylist()):
+        rows_in = zip(table.column("doc").to_pylist(), table.column("data").to_pylist(), _parts(table))
+        for doc, data, part in rows_in:
             a, b = np.searchsorted(docs, doc), np.searchsorted(docs, doc, "right")
+            own = places[a:b] >> 32 == part
             spans, kept = [], data
-            if a < b:
+            if own.any():
+                place, mask = places[a:b][own] & 0xFFFFFFFF, masks[a:b][own]
                 edge = np.zeros(len(data) + 1, np.int64)
                 for o in range(limits.window):
-                    starts = places[a:b][(masks[a:b] >> np.uint64(o)) & np.uint64(1) != 0].astype(np.int64) - o
+                    starts = place[(mask >> np.uint64(o)) & np.uint64(1) != 0] - o
                     np.add.at(edge, starts, 1)
                     np.add.at(edge, starts + limits.length, -1)
                 gone = np.cumsum(edge[:-1]) > 0
@@ -465,9 +486,12 @@ def remove_repeats(
     A byte goes if it lies in a string of ``length`` bytes that also starts in a document
     with a smaller id; strings are those of the input. NULL is the empty text; texts shorter
     than ``length`` stay whole; repeated rows are one document in two rows; a NULL id counts
-    as the largest and is given back as NULL; an empty table gives an empty result. Texts
+    as the largest and is given back as NULL; an empty table gives an empty result. Rows that
+    share an id, or have none, are none earlier than the other, whatever their texts. Texts
     equal to an earlier one are settled by their digest and not searched.
     """
+    if limits.window > 64:
+        raise ValueError("a string may start at 64 places before an anchor at most")
     spark = bounded_batches(docs).sparkSession
     rows = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("doc"),
@@ -484,7 +508,8 @@ def remove_repeats(
     firsts = narrow.groupBy("digest").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     copies = narrow.join(firsts, "digest").filter("doc > first").select("doc", "n_bytes", "code")
     copies = stage(copies, "text-copies")
-    chunk = F.pmod(F.xxhash64("doc"), F.lit(chunks)).cast("int")
+    # By text as well as id: an id that many rows share is no crowded chunk.
+    chunk = F.pmod(F.xxhash64("doc", "code"), F.lit(chunks)).cast("int")
     gone = copies.select("doc", "code").distinct().select(
         chunk.alias("c_chunk"), F.col("doc").alias("c_doc"), F.col("code").alias("c_code")
     )
@@ -493,7 +518,7 @@ def remove_repeats(
     same = F.col("chunk") == F.col("c_chunk")
     for a, b in (("doc", "c_doc"), ("code", "c_code")):
         same &= (F.col(a) <= F.col(b)) & (F.col(a) >= F.col(b))
-    fresh = rows.select(chunk.alias("chunk"), "doc", F.xxhash64("data").alias("code"), "data")
+    fresh = rows.withColumn("code", F.xxhash64("data")).select(chunk.alias("chunk"), "doc", "code", "data")
     fresh = fresh.join(gone, same, "left_anti").select("chunk", "doc", "data")
 
     by_chunk = fresh.groupBy("chunk")

@@ -83,3 +83,32 @@ def test_a_colliding_hash_does_not_pass(monkeypatch):
     docs = np.arange(40)
     answer = S.repeated_strings(np.zeros(40, np.uint64), bodies, masks, docs, limits, S.Powers())
     assert (answer[20:30] == masks[0]).all() and not answer[:20].any() and not answer[30:].any()
+
+
+def test_rows_that_share_an_id_or_have_none(documents):
+    """Rows of one id, NULL included, are none earlier than the other and keep to themselves."""
+    rng = random.Random(9)
+    one, two, three = ("".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (81, 3000, 70))
+    rows = [(1, one), (2, "head " + one + " tail"), (2, two), (2, "x"), (None, two + one), (None, three), (None, three + "y"), (None, None)]
+    expected = []
+    seen = {d: {t[k : k + 50] for e, t in rows if (t and e is not None and (d is None or e < d)) for k in range(len(t) - 49)} for d in (1, 2, None)}
+    for doc, text in rows:
+        data = text or ""
+        gone = bytearray(len(data))
+        for k in range(len(data) - 49):
+            if data[k : k + 50] in seen[doc]:
+                gone[k : k + 50] = b"\x01" * 50
+        expected.append((doc, len(data), sum(gone), "".join(c for c, g in zip(data, gone) if not g)))
+    for chunk in (4 << 20, 100):
+        found = S.remove_repeats(documents([(i, t, "en", "a") for i, t in rows]), limits=S.RepeatLimits(chunk_bytes=chunk))
+        got = [(r.doc, r.n_bytes, sum(s.stop - s.start for s in r.spans), bytes(r.kept).decode()) for r in found.collect()]
+        assert sorted(map(repr, got)) == sorted(map(repr, expected))
+    with pytest.raises(ValueError):
+        S.remove_repeats(documents([]), limits=S.RepeatLimits(length=100))
+
+
+def test_texts_of_one_id_in_one_chunk():
+    import pyarrow as pa
+
+    table = pa.table({"doc": [5, 7, 5, 5, 7], "data": [b"b", b"z", b"a", b"b", b"z"]})
+    assert S._parts(table) == [1, 0, 0, 1, 0]
