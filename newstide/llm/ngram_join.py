@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from newstide.llm.common import bounded_batches, row_batches
+from newstide.llm.common import bounded_batches, private, row_batches
 from newstide.llm.links import components
 from newstide.workspace import stage
 
@@ -509,12 +509,18 @@ def join_digest(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, limits: JoinLimits = JoinLimits(words=5, num=80)) -> DataFrame:
-    """Documents without those that repeat another: of each group the least id stays, once."""
-    groups = stage(similar_groups(docs, limits=limits), "near-copies")
-    gone = groups.filter("doc <> component_id").select(F.col("doc").alias("_gone")).distinct()
-    many = groups.groupBy("doc").count().filter("count > 1 AND doc IS NOT NULL").select(F.col("doc").alias("_many"))
-    gone, many = stage(gone, "near-copies-gone"), stage(many, "repeated-ids")
-    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    once = left.join(many, F.col("doc_id") == F.col("_many"), "left_anti")
-    repeated = left.join(many, F.col("doc_id") == F.col("_many"), "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(repeated)
+    """Documents without those that repeat another: of each group the least id stays, once.
+
+    Rows are told apart by a number of their own, so that rows sharing an id, or having none,
+    stand for themselves: NULL ids count as the largest, ties go to the earlier row.
+    """
+    row, group = private("row"), private("group")
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-rows")
+    groups = similar_groups(numbered.select(row, "text"), key=row, limits=limits)
+    groups = groups.select(F.col("doc").alias(row), F.col("component_id").alias(group))
+    ids = numbered.select(row, F.col("doc_id").alias("id")).join(groups, row)
+    least = ids.groupBy(group).agg(F.min(F.struct(F.col("id").isNull(), "id", row))[row].alias(row), F.count(F.lit(1)).alias("n"))
+    # Groups of one, most of them, take no part in the join that removes.
+    many = stage(least.filter("n > 1").select(group, F.col(row).alias("kept")), "kept-rows")
+    gone = stage(ids.join(many, group).filter(F.col(row) != F.col("kept")).select(row), "near-copies-gone")
+    return numbered.join(gone, row, "left_anti").drop(row)

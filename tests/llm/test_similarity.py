@@ -90,6 +90,16 @@ def test_one_of_each_group_stays(documents, awkward):
     assert kept.columns == df.columns
 
 
+def test_rows_that_share_an_id_or_have_none_stand_for_themselves(documents):
+    words = [f"w{i}" for i in range(400)]
+    a, b, c, d, e = (" ".join(words[k : k + 60]) for k in range(0, 350, 70))
+    rows = [(5, a), (5, b), (7, d), (8, d), (8, e), (None, c), (None, c), (None, a), (None, "only one"), (None, None), (9, None)]
+    kept = J.one_of_each(documents([(i, t, "en", "s") for i, t in rows]), J.JoinLimits(words=5, num=80, table=14))
+    found = sorted(repr((r.doc_id, r.text)) for r in kept.collect())
+    assert found == sorted(map(repr, [(5, a), (5, b), (7, d), (8, e), (None, c), (None, "only one"), (None, None), (9, None)]))
+    assert J.one_of_each(documents([])).count() == 0
+
+
 def test_similar_sets_share_a_signature_whatever_their_classes():
     rng = np.random.default_rng(3)
     limits = J.JoinLimits()
