@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newstide.checks import bindings as b
 from newstide.checks.bindings import with_views
@@ -33,13 +33,18 @@ from newstide.operators.prices import (
 )
 from newstide.operators.scoring import add_sentiment
 from newstide.plans.analyse import ResultTables, analyse
-from newstide.plans.export import export_tables
+from newstide.plans.export import FOLDERS, export_tables
 from newstide.schemas import ARTICLE_COLUMNS, RAW_ARTICLES, RAW_TICKS
 from newstide.sources import sinks
-from newstide.sources.articles import read_articles_csv, read_articles_json, read_scored_articles
+from newstide.sources.articles import (
+    read_articles_array,
+    read_articles_csv,
+    read_articles_json,
+    read_scored_articles,
+)
 from newstide.sources.corrupt import corrupt_records
 from newstide.sources.dimensions import read_companies_csv, read_sectors_csv
-from newstide.sources.prices import read_prices_csv, read_prices_json
+from newstide.sources.prices import read_prices_array, read_prices_csv, read_prices_json
 from newstide.sources.tables import StoredTable
 from newstide.streaming.arrivals import analyse_arrivals
 from newstide.workspace import fresh_path, spread
@@ -721,6 +726,23 @@ def article_array_source(spark, folder):
     return read_articles_json(spark, path)
 
 
+def _array_files(spark, objects: DataFrame, number: Column) -> str:
+    """Files of one JSON array each, of the objects in a column ``o``."""
+    path = fresh_path(spark, "json-arrays")
+    rows = F.concat(F.lit("[\n "), F.array_join(F.collect_list(F.to_json("o", {"ignoreNullFields": "false"})), ",\n "), F.lit("\n]"))
+    arrays = objects.groupBy(F.floor(number / 500)).agg(rows.alias("value")).select("value")
+    arrays.write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+@check(_TEN_SQL)
+def article_split_array_source(spark, folder):
+    """Files of one array each, which several tasks may share."""
+    rows = _ten_columns(spark, folder)
+    path = _array_files(spark, rows.select("stock", F.struct("*").alias("o")), F.col("stock").cast("long"))
+    return read_articles_array(spark, path)
+
+
 @check("SELECT doc_id % 10 = 0 AS corrupt, count(*) AS n FROM documents GROUP BY ALL")
 def corrupt_records_counted(spark, folder):
     """Every tenth line is cut off; good rows and corrupt ones are both counted."""
@@ -793,6 +815,14 @@ def price_json_source(spark, folder):
     return _quote_summary(read_prices_json(spark, path, multi_line=False))
 
 
+@check(_QUOTES_SQL)
+def price_split_array_source(spark, folder):
+    documents = _price_documents(spark, folder).select(F.struct("chart").alias("o"))
+    symbol = F.col("o.chart.result")[0]["meta"]["symbol"]
+    path = _array_files(spark, documents, F.substring(symbol, 2, 20).cast("long"))
+    return _quote_summary(read_prices_array(spark, path))
+
+
 @check(_QUOTES_SQL)
 def price_csv_roundtrip(spark, folder):
     source, target = fresh_path(spark, "prices-json"), fresh_path(spark, "prices-csv")
@@ -934,6 +964,103 @@ def two_batch_sector_export(spark, folder):
     return _rounded(exported, *_MONTH_VALUES)
 
 
+def _export_part(table: str, source: str, **columns: str) -> str:
+    """SELECT of one table in the shape all six have here; columns not given are NULL."""
+    shape = {
+        "key": "VARCHAR", "time_period": "VARCHAR", "label": "VARCHAR", "extra": "VARCHAR", "n": "BIGINT",
+        "first": "DOUBLE", "second": "DOUBLE", "third": "DOUBLE",
+    }
+    value = {
+        c: f"round({columns[c]}, 6)" if kind == "DOUBLE" and c in columns else columns.get(c, "NULL")
+        for c, kind in shape.items()
+    }
+    parts = ", ".join(f"CAST({value[c]} AS {kind.replace('VARCHAR', 'STRING')}) AS {c}" for c, kind in shape.items())
+    return f"SELECT '{table}' AS table_name, {parts} FROM {source}"
+
+
+def _export_parts(sources: dict[str, str]) -> str:
+    months = {"n": "number_of_articles", "first": "sentiment", "second": "stock_price_change", "third": "correlation"}
+    totals = {"n": "number_of_articles", "first": "corr"}
+    shapes = {
+        "stock_corr": {"key": "stock", "time_period": "time_period", "label": "name", **months},
+        "sector_corr": {"key": "sector", "time_period": "time_period", **months},
+        "stock_grouped": {"key": "stock", "label": "name", **totals},
+        "sector_grouped": {"key": "sector", **totals},
+        "stock": {
+            "key": "symbol", "time_period": "time_period", "label": "companyname", "extra": "category",
+            "n": "first_date + last_date", "first": "first_value", "second": "last_value", "third": "stock_price_change",
+        },
+        "news": {
+            "key": "title", "time_period": "time_period", "label": "date",
+            "extra": "md5(concat(coalesce(text, '-'), '|', coalesce(short_description, '-')))",
+            "n": "unix", "first": "sentiment",
+        },
+    }
+    return " UNION ALL ".join(_export_part(name, sources[name], **columns) for name, columns in shapes.items())
+
+
+def _first_of_key(source: str) -> str:
+    return f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title, text, date ORDER BY
+        short_description NULLS FIRST, sentiment NULLS FIRST, unix NULLS FIRST) AS nth FROM {source}) WHERE nth = 1)"""
+
+
+_EXPORT_SQL = (
+    "WITH "
+    + ",\n".join(
+        [_JOB_VIEWS[v] for v in _PRICE_VIEWS + ["needles", "keywords"] + _BATCH_VIEWS]
+        + [
+            b.months_of_stocks("first_batch", "stocks_1"),
+            b.months_of_stocks("second_batch", "stocks_2"),
+            b.sector_counts("first_batch", "found_1"),
+            b.sector_counts("second_batch", "found_2"),
+            b.months_of_sectors("found_1", "sectors_1", True),
+            b.months_of_sectors("found_2", "sectors_2", True),
+        ]
+        + [
+            f"{kind}_totals_{i} AS ({form.format(corr='avg(correlation)', months=f'{kind}s_{i}')})"
+            for kind, form in (("stock", _STOCK_TOTALS), ("sector", _SECTOR_TOTALS))
+            for i in (1, 2)
+        ]
+        + [
+            _merged(key, kept, weighted, replaced, f"{name}_1", f"{name}_2").replace("merged AS", f"{out} AS", 1)
+            for out, name, key, kept, weighted, replaced in (
+                ("stock_corr", "stocks", ["stock", "time_period"], ["name", "stock_price_change"], "correlation", ["sentiment"]),
+                ("sector_corr", "sectors", ["sector", "time_period"], ["stock_price_change"], "correlation", ["sentiment"]),
+                ("stock_grouped", "stock_totals", ["stock"], ["name"], "corr", []),
+                ("sector_grouped", "sector_totals", ["sector"], [], "corr", []),
+            )
+        ]
+        + [
+            f"""stored_news AS (SELECT * FROM {_first_of_key('first_batch')} UNION ALL
+              SELECT * FROM {_first_of_key("""(SELECT * FROM second_batch a WHERE NOT EXISTS (SELECT 1 FROM first_batch s
+                WHERE s.title IS NOT DISTINCT FROM a.title AND s.text IS NOT DISTINCT FROM a.text
+                  AND s.date IS NOT DISTINCT FROM a.date))""")})"""
+        ]
+    )
+    + "\n"
+    + _export_parts(
+        {
+            "stock_corr": "stock_corr", "sector_corr": "sector_corr", "stock_grouped": "stock_grouped",
+            "sector_grouped": "sector_grouped", "stock": "prices", "news": "stored_news",
+        }
+    )
+)
+
+
+@check(_EXPORT_SQL)
+def two_batch_exports(spark, folder):
+    """All six exports, read back from their files."""
+    tables = _two_batches(spark, folder)
+    target = fresh_path(spark, "export")
+    export_tables(tables, target, show=False)
+    sources = {}
+    for name, exported in FOLDERS.items():
+        read = spark.read.schema(getattr(tables, name).schema).csv(f"{target}/{exported}", header=True, multiLine=True)
+        sources[name] = f"export_{name}"
+        read.createOrReplaceTempView(sources[name])
+    return spark.sql(_export_parts(sources))
+
+
 @check(
     with_views(
         _PRICE_VIEWS + ["raw_news", "news", "keywords"],

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from newstide.functions.numbers import double_or_zero, long_or_zero
 from newstide.schemas import RAW_TICKS
 from newstide.sources.corrupt import good_rows, with_corrupt
+from newstide.sources.json_arrays import split_json_rows
 from newstide.sources.optional import or_none
 
 SERIES = ["timestamp", "open", "close", "volume", "high", "low"]
@@ -99,6 +100,15 @@ def read_prices_json(
     return ticks_from_json_rows(good_rows(rows, schema), layout)
 
 
+def read_prices_array(
+    spark: SparkSession, path: str | list[str], layout: PriceLayout = PriceLayout()
+) -> DataFrame:
+    """:func:`read_prices_json` for large files, each an array of price documents or one of
+    them, read by many tasks."""
+    schema = price_schema(layout)
+    return ticks_from_json_rows(good_rows(split_json_rows(spark, path, schema), schema), layout)
+
+
 def read_prices_csv(spark: SparkSession, path: str | list[str]) -> DataFrame | None:
     """Headerless CSV of ticks, or None when the path does not exist."""
     return or_none(lambda: spark.read.schema(RAW_TICKS).csv(path, header=False))

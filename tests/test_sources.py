@@ -1,15 +1,17 @@
 import json
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
 
 from newstide.operators.mentions import sector_keywords
 from newstide.schemas import ARTICLE_COLUMNS, RAW_ARTICLES, SCORED_ARTICLES
-from newstide.sources.articles import read_articles_csv, read_articles_json, read_scored_articles
+from newstide.sources.articles import read_articles_array, read_articles_csv, read_articles_json, read_scored_articles
 from newstide.sources.corrupt import corrupt_records
+from newstide.sources.json_arrays import json_objects
 from newstide.sources.dimensions import read_companies_csv, read_sectors_csv
 from newstide.sources.optional import or_none
-from newstide.sources.prices import PriceLayout, price_schema, read_prices_csv, read_prices_json
+from newstide.sources.prices import PriceLayout, price_schema, read_prices_array, read_prices_csv, read_prices_json
 from newstide.sources.sinks import write_articles_csv, write_prices_csv
 from newstide.operators.upsert import upsert
 from newstide.sources.tables import StoredTable
@@ -101,6 +103,69 @@ def test_absent_inputs(spark, tmp_path):
         or_none(lambda: spark.range(1).select("no_such_column"))
 
 
+@pytest.fixture
+def small_splits(spark):
+    """Splits of a few hundred bytes, so that a small file is read by many tasks."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    before = {n: spark.conf.get(n, None) for n in names}
+    for name, value in zip(names, ("97b", "1b", "64")):
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_a_large_array_is_read_by_many_tasks(spark, tmp_path, rows, small_splits):
+    rng = random.Random(7)
+    odd = ["}", "{", "[", "]", '"', "\\", "\\\\", ",", "\n", " ", "x", "é", "},{", '\\"', ":"]
+    files = {}
+    for name, indent in (("one", None), ("two", 2), ("three", None)):
+        files[name] = [
+            {"title": "".join(rng.choice(odd) for _ in range(rng.randrange(40))), "text": f"{name} {i}",
+             "authors": rng.choice([None, ["a}", {"b": "]"}], []]), "other": {"deep": [{"title": "}"}]}}
+            for i in range(rng.randrange(40, 90))
+        ]
+        (tmp_path / f"{name}.json").write_text(json.dumps(files[name], indent=indent, ensure_ascii=False), encoding="utf-8")
+    (tmp_path / "empty.json").write_text("[ ]\n")
+    (tmp_path / "single.json").write_text('{"title": "alone {", "text": "s", "other": {"a": {}}}\n')
+    source = str(tmp_path / "*.json")
+    found = read_articles_array(spark, source)
+    expected = sorted([(a["title"], a["text"]) for f in files.values() for a in f] + [("alone {", "s")])
+    assert rows(found, "title", "text") == expected
+    whole = read_articles_json(spark, source).filter("title IS NOT NULL OR text IS NOT NULL")
+    others = [c for c in ARTICLE_COLUMNS if c != "authors"]
+    assert rows(found, *others) == rows(whole, *others)
+    # lists come as JSON text, here without the white space of the file
+    authors = lambda df: sorted(repr((r.text, r.authors and json.loads(r.authors))) for r in df.collect())
+    assert authors(found) == authors(whole)
+    assert json_objects(spark, source).filter("NOT whole").count() == 0
+    assert spark.read.option("lineSep", "}").text(str(tmp_path / "one.json")).rdd.getNumPartitions() > 5
+
+
+def test_a_cut_array_tells_what_is_broken(spark, tmp_path, rows, small_splits):
+    text = json.dumps([{"title": f"t{i}", "text": "x" * 50} for i in range(20)])
+    (tmp_path / "cut.json").write_text(text[:-30])
+    found = json_objects(spark, str(tmp_path))
+    assert found.filter("whole").count() == 19
+    (rest,) = found.filter("NOT whole").collect()
+    assert rest.record.startswith('{"title": "t19"') and text.endswith(rest.record + text[-30:])
+    assert rows(read_articles_array(spark, str(tmp_path)), "title") == sorted((f"t{i}",) for i in range(19))
+    (tmp_path / "cut.json").write_text('[1, {"title": "kept"}, "s", {"title": "t"}]')
+    assert rows(read_articles_array(spark, str(tmp_path)), "title") == []
+
+
+def test_price_documents_in_one_array(spark, tmp_path, rows, small_splits):
+    def document(symbol):
+        quote = {s: [1.0, 2.0, 3.0] for s in ("open", "close", "volume", "high", "low")}
+        return {"chart": {"result": [{"meta": {"symbol": symbol}, "timestamp": [1, 2, 3], "indicators": {"quote": [quote]}}]}}
+
+    (tmp_path / "all.json").write_text(json.dumps([document(f"S{i}") for i in range(30)]))
+    (tmp_path / "one.json").write_text(json.dumps(document("T")))
+    found = read_prices_array(spark, str(tmp_path))
+    assert found.count() == 93
+    assert rows(found.filter("stockname = 'T'"), "timestamp", "close") == [(1, 1.0), (2, 2.0), (3, 3.0)]
+
+
 def test_dimensions(spark, tmp_path, rows):
     (tmp_path / "companies.csv").write_text("Stockname,Companyname,Category\nA,Apple Inc.,Tech\nB,,\n")
     assert rows(read_companies_csv(spark, str(tmp_path / "companies.csv"))) == [
