@@ -234,10 +234,106 @@ SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGI
 FROM bytes LEFT JOIN removed USING (doc_id)
 """
 
+# The checksum of a string of hexadecimal digits' bytes, from the table its rule gives.
+_CODES_CTE = r"""codes AS (
+  SELECT list(c ORDER BY n) AS table_ FROM (
+    SELECT n, list_reduce([n::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS n))
+)"""
+
+
+def _crc32_sql(digits: str) -> str:
+    return f"""xor(list_reduce(list_concat([4294967295::BIGINT],
+      [('0x' || substr({digits}, 2 * i + 1, 2))::BIGINT FOR i IN range(0, length({digits}) // 2)]),
+      lambda c, b: xor(c >> 8, table_[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+IMPORTANCE_SQL = f"""
+WITH {_CODES_CTE}, texts AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
+), split AS (
+  SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM texts
+), grams AS (
+  SELECT side, id, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))],
+    [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])) AS g FROM split
+), counted AS (
+  SELECT side, id, g, count(*) AS n FROM grams GROUP BY ALL
+), spelled AS (
+  SELECT g, hex(encode(g)) AS x FROM (SELECT DISTINCT g FROM counted)
+), hashed AS (
+  SELECT g, {_crc32_sql('x')} % 10000 AS bucket
+  FROM spelled, codes
+), buckets AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 'b'), 0)::DOUBLE AS t
+  FROM counted JOIN hashed USING (g) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain
+  FROM buckets
+), weights AS (
+  SELECT id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+  FROM counted JOIN hashed USING (g) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id
+), scored AS (
+  SELECT id AS doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || id), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM split LEFT JOIN weights USING (id) WHERE side = 'd'
+), placed AS (
+  SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) END AS place,
+    count(*) FILTER (n_words >= 20) OVER () AS fit
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * fit // 100 THEN place END::BIGINT AS rank FROM placed
+"""
+
+RUN_SQL = f"""
+WITH {_CODES_CTE}, split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w, hex(encode(doc_id::VARCHAR)) AS x
+  FROM documents
+), shaped AS (
+  SELECT doc_id, w, len(w) AS n, {_crc32_sql('x')} AS h FROM split, codes
+), placed AS (
+  SELECT *, (h // 10) % n AS a, 1 + (n - (h // 10) % n) // (3 + (h // 10) % 8) AS p FROM shaped
+), moved AS (
+  SELECT doc_id, CASE WHEN h % 10 = 0 AND n > 0
+    THEN [CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END FOR i IN range(0, n)] ELSE w END AS w
+  FROM placed
+), grams AS (
+  SELECT doc_id, n, i, array_to_string(w[i + 1:i + 16], ' ') AS g
+  FROM (SELECT doc_id, w, len(w) AS n, unnest(range(0, len(w) - 15)) AS i FROM moved)
+), pairs AS (
+  SELECT a.doc_id, a.i, b.i - a.i AS p FROM grams a JOIN grams b ON a.doc_id = b.doc_id AND a.g = b.g
+  WHERE b.i > a.i AND 3 * (b.i - a.i) <= a.n
+), islands AS (
+  SELECT doc_id, p, i, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS island FROM pairs
+), stretches AS (
+  SELECT doc_id, p, min(i) AS start, count(*) + 15 + p AS length FROM islands GROUP BY doc_id, p, island
+), runs AS (
+  SELECT doc_id, start, length, min(p) AS period FROM stretches WHERE length >= 24 AND length >= 3 * p GROUP BY ALL
+), listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines,
+    first(struct_pack(start, length, period) ORDER BY length::DOUBLE / period DESC, start, period) AS top
+  FROM runs GROUP BY doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS i FROM moved
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, top.start::BIGINT AS start, top.length::BIGINT AS length,
+  top.period::BIGINT AS period, (1000 * top.length // top.period)::BIGINT AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard": JOIN_SQL,
     "op4_source_mix": MIX_SQL,
     "op6_warc_members": WARC_SQL,
     "op7_benchmark_leaks": LEAK_SQL,
     "op10_suffix_repeats": REPEAT_SQL,
+    "op11_bit_sliced_weights": IMPORTANCE_SQL,
+    "op12_word_runs": RUN_SQL,
 }
