@@ -1,7 +1,8 @@
 """The given tables seen as articles, ticks, companies and sector keywords.
 
 Each view is stated twice, for Spark and as a common table expression for the SQL
-check. All rows and whole texts are used.
+check. All rows and whole texts are searched; names of companies and sector keywords are made
+of the first words of texts.
 """
 
 from __future__ import annotations

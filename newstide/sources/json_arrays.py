@@ -36,7 +36,9 @@ def _less(text: Column, characters: str) -> Column:
 def _with_sums(records: DataFrame) -> DataFrame:
     """Quotes of a record, and brackets it opens less those it and the brace after it close, if
     it starts outside (``d0``) or inside (``d1``) a string."""
-    plain = F.regexp_replace("value", r"(?s)\\.", "")
+    # Quotes and brackets of the text in order, without escaped ones: all that counts, and short.
+    marks = F.array_join(F.regexp_extract_all(F.col("value"), F.lit(r'(?s)\\.|["{\[\]]+'), F.lit(0)), "")
+    plain = F.regexp_replace(marks, r"(?s)\\.", "")
     strings, first = r'"[^"]*("|\z)', r'\A[^"]*("|\z)'
     outside = F.regexp_replace(plain, strings, "")
     within = F.regexp_replace(F.regexp_replace(plain, first, ""), strings, "")
