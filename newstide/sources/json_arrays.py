@@ -54,7 +54,7 @@ def _block_starts(records: DataFrame) -> DataFrame:
     """(file, block, inside, depth, base): how every block starts, and how deep the objects of
     its file lie: 1 in an array, 0 in a file of one object."""
     order = Window.partitionBy(*_PLACE).orderBy("seq")
-    head = F.substring(F.regexp_replace("value", r"\A\s+", ""), 1, 1)
+    head = F.substring(F.regexp_replace("value", r"\A[\s\uFEFF]+", ""), 1, 1)
     sums = _with_sums(records).select(*_PLACE, "seq", "q", "d0", "d1", head.alias("head"))
     odd = (F.sum("q").over(order) - F.col("q")) % 2 == 1
     swapped = sums.select(
@@ -105,7 +105,7 @@ def json_objects(spark: SparkSession, path: str | list[str]) -> DataFrame:
     edges = pieces.filter("nth = 0 OR NOT whole").withColumn("object", F.sum(closed).over(along) - closed)
     edges = edges.groupBy("file", "object").agg(_joined(["block", "nth"]), F.max("whole").alias("whole"))
     every = inner.unionByName(edges.select("file", "value", "whole"))
-    text = F.regexp_replace("value", r"\A[\s,\[]+", "")
+    text = F.regexp_replace("value", r"\A[\s,\[\uFEFF]+", "")
     bare = F.regexp_replace(text, r"[\s,\]]+\z", "")
     return every.select(
         "file", F.when(F.col("whole"), F.concat(text, F.lit("}"))).otherwise(bare).alias("record"), "whole"

@@ -127,7 +127,7 @@ def test_a_large_array_is_read_by_many_tasks(spark, tmp_path, rows, small_splits
         ]
         (tmp_path / f"{name}.json").write_text(json.dumps(files[name], indent=indent, ensure_ascii=False), encoding="utf-8")
     (tmp_path / "empty.json").write_text("[ ]\n")
-    (tmp_path / "single.json").write_text('{"title": "alone {", "text": "s", "other": {"a": {}}}\n')
+    (tmp_path / "single.json").write_text("\ufeff" + '{"title": "alone {", "text": "s", "other": {"a": {}}}\n', encoding="utf-8")
     source = str(tmp_path / "*.json")
     found = read_articles_array(spark, source)
     expected = sorted([(a["title"], a["text"]) for f in files.values() for a in f] + [("alone {", "s")])
