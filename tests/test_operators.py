@@ -104,6 +104,27 @@ def test_a_large_dictionary_is_shuffled_and_articles_are_read_once(spark, rows,
     assert scans[0] == scans[1]
 
 
+def test_grams_are_compared_where_they_are_found(spark, rows):
+    """No text is searched again per candidate, and entries that share a needle share its search."""
+    texts = random_words(5, 60, 80, "abé ") + ["aé" * 40, ""]
+    articles = spark.createDataFrame([(i, t, t[:9]) for i, t in enumerate(texts)], "id int, t string, start string")
+    needles = [w for w in random_words(6, 40, 14, "abé ") + ["aé" * 9] if w]
+    words = spark.createDataFrame([(w, k) for w in needles for k in range(3)], "needle string, k int")
+    found = contains_join(articles, words, ["t", "start"], "needle", plan="grams", keep=["id"])
+    plan = plan_of(found)
+    assert "MapInArrow" in plan and "_lower" not in plan
+    assert found.columns == ["id", "needle", "k"]
+    assert rows(found) == sorted((i, w, k) for i, t in enumerate(texts) for w in needles for k in range(3) if w in t)
+
+
+def test_nested_loop_tests_each_needle_once(spark, rows):
+    articles = spark.createDataFrame([(1, "Some text", "some"), (2, "none", None)], "id int, a string, b string")
+    words = spark.createDataFrame([("some", "x"), ("SOME", "y"), ("some", "z"), ("text", "t")], "needle string, name string")
+    found = contains_join(articles, words, ["a", "b"], "needle", plan="nested_loop")
+    assert "HashAggregate(keys=[_needle" in plan_of(found).split("NestedLoop", 1)[1]
+    assert rows(found, "id", "name") == [(1, "t"), (1, "x"), (1, "y"), (1, "z")]
+
+
 def test_no_entries_no_pairs(spark):
     articles = spark.createDataFrame([("x",)], "t string")
     for plan in ("nested_loop", "grams", "shuffle"):
