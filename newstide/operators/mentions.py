@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from newstide.functions.dates import add_time_period
 from newstide.functions.text import clean_company_name, plain_text, tokens_of
 from newstide.operators.contains import DEFAULTS, ContainsLimits, contains_join
 from newstide.operators.keys import row_digest
+from newstide.operators.substrings import Lookup, with_labels
 from newstide.workspace import stage
 
 FIELDS = ["title", "text", "short_description"]
@@ -136,11 +137,15 @@ def _token_parts(tokens: DataFrame, parts: DataFrame, limits: ContainsLimits) ->
     return stage(inside.unionByName(empty), "token-parts")
 
 
+def _string_bytes(df: DataFrame, limits: ContainsLimits) -> int:
+    """Measured size of a table of strings, once in memory."""
+    size = reduce(lambda a, b: a + b, [F.octet_length(c) for c in df.columns]) + F.lit(limits.row_overhead_bytes)
+    return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+
+
 def _sized(df: DataFrame, limits: ContainsLimits) -> DataFrame:
     """``df`` marked for broadcast if its measured strings fit, as it is otherwise."""
-    size = reduce(lambda a, b: a + b, [F.octet_length(c) for c in df.columns]) + F.lit(limits.row_overhead_bytes)
-    measured = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    return F.broadcast(df) if measured <= limits.broadcast_bytes else df
+    return F.broadcast(df) if _string_bytes(df, limits) <= limits.broadcast_bytes else df
 
 
 def add_stocks_sectors_sentiment(
@@ -157,13 +162,29 @@ def add_stocks_sectors_sentiment(
     ``sectors`` is the wide keyword table. The score is the given column, by default the
     constant 0.5 for any text.
 
-    The distinct tokens are searched for the distinct parts; articles then meet parts by
-    token, and keywords by part: an article has a keyword if as many of its parts were found
-    as there are. Matches go by the digest of the three fields, so copies are matched once.
+    No token holds a space, so a part lies inside some token if it lies in the plain text: names
+    and parts are broadcast by their measured size, every text is searched once for all of them
+    and nothing is shuffled. Larger dictionaries meet the articles by token.
     """
     plain = plain_text(*[F.col(f) for f in FIELDS])
     dated = add_time_period(articles)
     score = sentiment if sentiment is not None else F.when(plain.isNotNull(), F.lit(0.5))
+    # Tokens are lower-case ASCII letters and digits: nothing else lies inside one.
+    possible = F.col("part").rlike("^[a-z0-9]*$")
+    wanted_names = names.select(F.lower("companyname").alias("part"), F.col("companyname").alias("stock")).filter(possible)
+    wanted_names = stage(wanted_names.distinct(), "names")
+    keywords = sector_keywords(sectors).withColumn("parts", F.array_distinct(F.split(F.lower("keyword"), " ", -1)))
+    keywords = stage(keywords, "keywords")
+    output = ["title", "unix", "time_period", "stocks", "sectors", "sentiment"]
+
+    whole = keywords.select("sector", "keyword", F.array_join("parts", " ").alias("parts"))
+    if _string_bytes(wanted_names, limits) + _string_bytes(whole, limits) <= limits.broadcast_bytes:
+        text = F.when(plain.isNotNull(), F.array(plain)).otherwise(F.array().cast("array<string>"))
+        base = dated.select("title", "unix", "time_period", score.alias("sentiment"), text.alias("_texts"))
+        stocks = Lookup([(row["stock"], [row["part"]]) for row in wanted_names.collect()], limits.gram)
+        named = Lookup([(row["sector"], row["parts"]) for row in keywords.collect()], limits.gram)
+        return with_labels(base, "_texts", T.StringType(), stocks=stocks, sectors=named).select(*output)
+
     base = dated.select(
         "title", "unix", "time_period", score.alias("sentiment"), row_digest(dated, FIELDS).alias("_digest")
     )
@@ -174,11 +195,6 @@ def add_stocks_sectors_sentiment(
         .filter(F.col("token").isNotNull()),
         "tokens",
     )
-    # Tokens are lower-case ASCII letters and digits: nothing else lies inside one.
-    possible = F.col("part").rlike("^[a-z0-9]*$")
-    wanted_names = names.select(F.lower("companyname").alias("part"), F.col("companyname").alias("stock")).filter(possible)
-    wanted_names = stage(wanted_names.distinct(), "names")
-    keywords = sector_keywords(sectors).withColumn("parts", F.array_distinct(F.split(F.lower("keyword"), " ", -1)))
     wanted_parts = keywords.select("sector", "keyword", F.size("parts").alias("n"), F.explode("parts").alias("part"))
     wanted_parts = stage(wanted_parts, "keyword-parts")
 

@@ -202,6 +202,9 @@ def test_array_forms(spark, rows):
             ("Apple tree", "2020-01", ["Apple"], ["Energy"], 0.5),
             ("nothing", None, [], [], 0.5),
         ]
+    # Only a dictionary too large to broadcast has the articles moved, and their tokens written.
+    assert "Exchange" in plan_of(found)
+    assert "Exchange" not in plan_of(add_stocks_sectors_sentiment(news, names, sectors))
     assert rows(explode_stocks_and_aggregate(found)) == [("Apple", "2020-01", 1, 0.5)]
     assert rows(explode_sectors_and_aggregate(found)) == [("Energy", "2020-01", 1, 0.5)]
 
