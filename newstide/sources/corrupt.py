@@ -17,8 +17,9 @@ def with_corrupt(
 
 
 def _reads(schema: T.StructType) -> Column:
-    """True; reads a column, as Spark does not parse for the corrupt record alone."""
-    return F.coalesce(F.length(F.col(schema[0].name).cast("string")), F.lit(0)) >= 0
+    """True; names a column, as Spark does not parse for the corrupt record alone, and looks at
+    nothing in it: spelling it out takes longer than parsing it."""
+    return F.abs(F.col(schema[0].name).isNull().cast("int")) >= 0
 
 
 def good_rows(rows: DataFrame, schema: T.StructType) -> DataFrame:

@@ -116,8 +116,8 @@ def split_json_rows(spark: SparkSession, path: str | list[str], schema: T.Struct
     """Rows of ``schema`` with the corrupt-record column, from objects found as above."""
     wider = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     found = json_objects(spark, path)
-    parsed = found.select(
-        F.when(F.col("whole"), F.from_json("record", wider, {"columnNameOfCorruptRecord": CORRUPT})).alias("row"), "record"
-    )
+    row = F.when(F.col("whole"), F.from_json("record", wider, {"columnNameOfCorruptRecord": CORRUPT}))
+    # Out of an array of one, so that the optimizer does not parse anew for every use of the row.
+    parsed = found.select(F.explode_outer(F.array(row)).alias("row"), "record")
     broken = F.when(F.col("row").isNull(), F.col("record")).otherwise(F.col(f"row.{CORRUPT}"))
     return parsed.select(*[F.col(f"row.{f.name}") for f in schema.fields], broken.alias(CORRUPT))

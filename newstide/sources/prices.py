@@ -6,13 +6,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from newstide.functions.numbers import double_or_zero, long_or_zero
+from newstide.functions.numbers import double_or_zero, long_or_zero, plain_numbers
 from newstide.schemas import RAW_TICKS
 from newstide.sources.corrupt import good_rows, with_corrupt
 from newstide.sources.json_arrays import split_json_rows
 from newstide.sources.optional import or_none
 
 SERIES = ["timestamp", "open", "close", "volume", "high", "low"]
+_KINDS = {s: "bigint" if s in ("timestamp", "volume") else "double" for s in SERIES}
 
 
 @dataclass(frozen=True)
@@ -67,20 +68,22 @@ def ticks_from_json_rows(rows: DataFrame, layout: PriceLayout = PriceLayout()) -
         F.col(f"r.{layout.symbol}").alias("stockname"),
         F.col(f"r.{layout.timestamps}").alias("timestamp"),
         *[quote[s].alias(s) for s in SERIES[1:]],
-    ).filter(F.col("low").isNotNull() & F.col("timestamp").isNotNull())
+    ).filter(F.col("low").isNotNull() & (F.size("timestamp") > 0))
     # A series that is absent altogether must not turn the zipped array into NULL.
     empty = F.array().cast(_NUMBERS)
     zipped = F.arrays_zip(*[F.coalesce(F.col(s), empty).alias(s) for s in SERIES])
-    counted = F.slice(zipped, 1, F.size("timestamp"))
-    ticks = parts.select("stockname", F.inline(counted))
+    # A pattern per value takes longer than parsing it, so each series is tested as a whole.
+    plain = [plain_numbers(F.col(s), _KINDS[s]).alias(f"_plain_{s}") for s in SERIES]
+    ticks = parts.select("stockname", *plain, zipped.alias("_zipped"), F.size("timestamp").alias("_n"))
+    # There is a tick at least; the outer form spares the optimizer's size test, which would zip twice.
+    counted = F.slice("_zipped", F.lit(1), F.col("_n"))
+    ticks = ticks.select("stockname", *[f"_plain_{s}" for s in SERIES], F.inline_outer(counted))
+    read = {"bigint": long_or_zero, "double": double_or_zero}
+    value = {s: read[_KINDS[s]](F.col(s), F.col(f"_plain_{s}")).alias(s) for s in SERIES}
     return ticks.select(
-        long_or_zero(F.col("timestamp")).alias("timestamp"),
+        value["timestamp"],
         F.coalesce("stockname", F.lit("")).alias("stockname"),
-        double_or_zero(F.col("open")).alias("open"),
-        double_or_zero(F.col("close")).alias("close"),
-        long_or_zero(F.col("volume")).alias("volume"),
-        double_or_zero(F.col("high")).alias("high"),
-        double_or_zero(F.col("low")).alias("low"),
+        *[value[s] for s in SERIES[1:]],
     )
 
 

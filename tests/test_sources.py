@@ -3,7 +3,9 @@ import random
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
+from newstide.functions.numbers import double_or_zero, long_or_zero, plain_numbers
 from newstide.operators.mentions import sector_keywords
 from newstide.schemas import ARTICLE_COLUMNS, RAW_ARTICLES, SCORED_ARTICLES
 from newstide.sources.articles import read_articles_array, read_articles_csv, read_articles_json, read_scored_articles
@@ -236,3 +238,26 @@ def test_an_update_of_one_key_rewrites_one_part(spark, tmp_path, rows):
     # an empty update takes everything over
     table.upsert(spark.createDataFrame([], schema), 4, merge)
     assert set(table.latest().folders) == set(table.listed(3).folders)
+
+
+def test_price_values_are_read_alike_in_plain_and_odd_series(spark):
+    """A series of plain numbers is tested as a whole; one odd value sends it to the pattern."""
+    values = ["5", "1.5", "1,2", "1E2", "+7", "-3", ".", "", "1.2.3", "9" * 30, "--1"]
+    odd = [*values, "0x1p3", "2d", " 4 ", "7\n", "nan", "٣"]
+    rows = spark.createDataFrame([(0, values), (1, odd), (2, ["12\n"]), (3, [None, "4"]), (4, []), (5, None)], "i int, v array<string>")
+    for kind, read in (("bigint", long_or_zero), ("double", double_or_zero)):
+        plain = plain_numbers(F.col("v"), kind)
+        each = rows.select("i", plain.alias("plain"), F.explode("v").alias("x"))
+        found = each.select("i", "plain", read(F.col("x")).alias("a"), read(F.col("x"), F.col("plain")).alias("b"))
+        assert found.filter("NOT (a <=> b)").count() == 0
+        assert {r.i for r in found.filter("plain").collect()} == ({3} if kind == "bigint" else {0, 3})
+
+
+def test_price_rows_are_parsed_and_zipped_once(spark, tmp_path):
+    path = tmp_path / "prices.json"
+    path.write_text('[{"chart": {"result": [{"meta": {"symbol": "A"}, "timestamp": [1, 2], "indicators": {"quote": [{"low": [3]}]}}]}}]')
+    found = read_prices_array(spark, str(path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and plan.count("arrays_zip") == 1
+    assert "cast(chart" not in plan and "cast(row" not in plan
+    assert [(r.timestamp, r.low) for r in found.orderBy("timestamp").collect()] == [(1, 3.0), (2, 0.0)]
