@@ -96,6 +96,26 @@ def _filed(entries: DataFrame, kinds: list[int], limits: ContainsLimits) -> Data
     return entries.join(anchors, _NEEDLE)
 
 
+def _texts(fields: list[str]) -> Column:
+    """The lower-cased fields as an array, without those that lie within another one."""
+    lowered = [F.lower(F.coalesce(F.col(f), F.lit(""))) for f in fields]
+    longest_first = F.array_sort(
+        F.array_distinct(F.array(*lowered)), lambda a, b: F.octet_length(b) - F.octet_length(a)
+    )
+    return F.aggregate(
+        longest_first,
+        F.array().cast("array<string>"),
+        lambda kept, x: F.when(F.exists(kept, lambda k: k.contains(x)), kept).otherwise(F.concat(kept, F.array(x))),
+    )
+
+
+def _with_lowered(articles: DataFrame, fields: list[str]) -> DataFrame:
+    """The articles with ``_lower_0`` and so on: the texts of :func:`_texts`, then empty ones."""
+    return articles.withColumn("_texts", _texts(fields)).select(
+        *articles.columns, *[F.coalesce(F.get("_texts", F.lit(i)), F.lit("")).alias(f"_lower_{i}") for i in range(len(fields))]
+    )
+
+
 def _join_by_shuffle(
     articles: DataFrame, entries: DataFrame, fields: list[str], lengths: list[int], output: list[str], limits: ContainsLimits
 ) -> DataFrame:
@@ -112,7 +132,8 @@ def _join_by_shuffle(
         _SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     numbered = stage(articles.withColumn(_ROW, F.monotonically_increasing_id()), "articles")
-    lowered = [F.lower(F.coalesce(F.col(f), F.lit(""))) for f in fields]
+    searched = _with_lowered(numbered, fields)
+    lowered = [F.col(f"_lower_{i}") for i in range(len(fields))]
     listed = []
     for i in kinds:
         _, gram, step = classes[i]
@@ -122,30 +143,16 @@ def _join_by_shuffle(
         distinct = F.array_distinct(grams)
         listed.append(F.arrays_zip(F.array_repeat(F.lit(i), F.size(distinct)).alias(_KIND), distinct.alias(_ANCHOR)))
     # The outer form spares the optimizer's size test, which would cut the text twice.
-    grams = numbered.select(
+    grams = searched.select(
         _ROW, F.pmod(F.col(_ROW), F.lit(salts)).cast("int").alias(_SALT), F.inline_outer(F.concat(*listed))
     ).filter(F.col(_ANCHOR).isNotNull())
     # Partitioned by article for the removal of repeated candidates and the join after it.
     candidates = grams.join(filed, [_KIND, _ANCHOR, _SALT]).drop(_KIND, _ANCHOR, _SALT)
     candidates = candidates.repartition(F.col(_ROW)).dropDuplicates([_ROW, _ENTRY])
-    searched = numbered.select("*", *[h.alias(f"_lower_{i}") for i, h in enumerate(lowered)])
-    found = reduce(lambda a, b: a | b, [F.col(f"_lower_{i}").contains(F.col(_NEEDLE)) for i in range(len(fields))])
+    found = reduce(lambda a, b: a | b, [h.contains(F.col(_NEEDLE)) for h in lowered])
     return searched.join(candidates, _ROW).filter(found).select(*output)
 
 
-def _texts(fields: list[str]) -> Column:
-    """The lower-cased fields as an array, without those that lie within another one."""
-    lowered = [F.lower(F.coalesce(F.col(f), F.lit(""))) for f in fields]
-    longest_first = F.array_sort(
-        F.array_distinct(F.array(*lowered)), lambda a, b: F.octet_length(b) - F.octet_length(a)
-    )
-    return F.aggregate(
-        longest_first,
-        F.array().cast("array<string>"),
-        lambda kept, x: F.when(F.exists(kept, lambda k: k.contains(x)), kept).otherwise(F.concat(kept, F.array(x))),
-    )
-
-
 def contains_join(
     articles: DataFrame,
     dictionary: DataFrame,
@@ -183,10 +190,14 @@ def contains_join(
     if plan is None:
         plan = "nested_loop" if measured["rows"] <= limits.nested_loop_entries else "grams"
         plan = plan if measured["bytes"] <= limits.broadcast_bytes else "shuffle"
+    shared = measured["needles"] < measured["rows"]
     if plan == "shuffle":
-        return _join_by_shuffle(articles, entries, fields, measured["lengths"], output, limits)
+        if not shared:
+            return _join_by_shuffle(articles, entries, fields, measured["lengths"], output, limits)
+        needles = entries.select(_NEEDLE).distinct()
+        hits = _join_by_shuffle(articles, needles, fields, measured["lengths"], [*kept, _NEEDLE], limits)
+        return hits.join(entries, _NEEDLE).select(*output)
 
-    shared = measured["needles"] < measured["rows"]
     if plan == "grams":
         needles = stage(entries.select(_NEEDLE).distinct().withColumn(_ENTRY, F.monotonically_increasing_id()), "needles")
         entries = stage(entries.join(needles, _NEEDLE), "entries")
@@ -197,9 +208,7 @@ def contains_join(
         return hits.join(F.broadcast(entries), _ENTRY).select(*output)
 
     needles = entries.select(_NEEDLE).distinct() if shared else entries
-    searched = articles.select(*kept, _texts(fields).alias("_texts")).select(
-        *kept, *[F.coalesce(F.get("_texts", F.lit(i)), F.lit("")).alias(f"_lower_{i}") for i in range(len(fields))]
-    )
+    searched = _with_lowered(articles, fields).select(*kept, *[f"_lower_{i}" for i in range(len(fields))])
     found = reduce(lambda a, b: a | b, [F.col(f"_lower_{i}").contains(F.col(_NEEDLE)) for i in range(len(fields))])
     hits = searched.join(F.broadcast(needles), found)
     if shared:
