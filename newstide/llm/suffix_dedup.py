@@ -180,9 +180,9 @@ def bucket_repeats(limits: RepeatLimits):
         _, place = np.unique(marks, return_inverse=True)
         total = np.bincount(place, weights=docs)[place]
         use = total >= 2
-        rows = []
-        for i, s in _split(owner[use]):
-            rows.append((chunks[i], marks[use][s].tobytes(), (total[use][s] > limits.hot).tobytes()))
+        # Chosen once: a choice per chunk would take the chunks times the bucket's anchors.
+        marks, hot = marks[use], total[use] > limits.hot
+        rows = [(chunks[i], marks[s].tobytes(), hot[s].tobytes()) for i, s in _split(owner[use])]
         return _blobs(_REPEATS, rows)
 
     return run

@@ -1,7 +1,10 @@
 import hashlib
+import math
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from newstide.llm import suffix_dedup as S
@@ -112,3 +115,25 @@ def test_texts_of_one_id_in_one_chunk():
 
     table = pa.table({"doc": [5, 7, 5, 5, 7], "data": [b"b", b"z", b"a", b"b", b"z"]})
     assert S._parts(table) == [1, 0, 0, 1, 0]
+
+
+def test_a_bucket_takes_time_by_its_anchors_not_by_chunks_times_anchors():
+    """Sixteen times the chunks, with as many anchors each: about 16 times the time, not 256."""
+    limits, each = S.RepeatLimits(), 100
+
+    def seconds(chunks):
+        marks = np.sort(np.random.default_rng(1).integers(0, 5 * chunks, (chunks, each)).astype(np.uint64))
+        told = [(0, i, row.tobytes(), np.ones(each, "<u2").tobytes()) for i, row in enumerate(marks)]
+        table, best = S._blobs(S._ANCHORS, told), math.inf
+        for _ in range(3):
+            began = time.process_time()
+            found = S.bucket_repeats(limits)((pa.scalar(0),), table)
+            best = min(best, time.process_time() - began)
+        counts = np.bincount(marks.ravel().astype(np.int64))
+        for chunk, own, hot in zip(*(found.column(c).to_pylist() for c in ("chunk", "marks", "hot"))):
+            expected = marks[chunk][counts[marks[chunk].astype(np.int64)] >= 2]
+            assert (np.frombuffer(own, np.uint64) == expected).all() and len(hot) == len(expected)
+        assert found.num_rows == chunks
+        return best
+
+    assert seconds(2000) < 80 * seconds(125)
