@@ -3,19 +3,21 @@
 ``contains`` offers no key to hash on. Three exact plans are used. The first two broadcast
 the dictionary, which is measured before, and shuffle no article that comes in enough splits:
 
-* few entries: broadcast the dictionary and test each pair (nested loop);
+* few entries: broadcast the dictionary and test each pair (nested loop). Beyond some entries a
+  bitmap of each text's n-grams is made first, and a pair is tested by the bits of the needle's
+  n-grams before its text is searched;
 * many entries: every needle is filed under its n-gram of up to 8 bytes at the start, and the
   n-grams of an article at all its places probe the broadcast needles, in batches of rows
   (:mod:`newstide.operators.substrings`). What follows the n-gram is compared where it was
   found, so no text is searched again for each needle that might be in it.
 
-* a dictionary too large to broadcast: an inverted index, shuffled. Of a text only the
-  n-grams that start at every k-th place are listed; an entry is filed under k n-grams in a
-  row, one of which starts at such a place wherever the entry occurs. Both sides meet by
-  n-gram, and the articles, written once with a row number, meet their candidates by that
-  number, where ``contains`` decides. The articles are read once whatever the dictionary. An
-  n-gram in most texts is spread over several partitions by row number, and no article key
-  can be crowded.
+* a dictionary too large to broadcast: an inverted index, shuffled. An entry is filed under the
+  n-gram of it, or k n-grams in a row, that the fewest others share; of a text those at all, or
+  every k-th, places are listed that pass a filter of what is filed, which is broadcast and
+  bounded in size. Both sides meet by n-gram, and the articles, written once with a row number,
+  meet the list of their candidates by that number; a batch of them is searched for the
+  candidates of its rows. The articles are read once whatever the dictionary. An n-gram in most
+  texts is spread over several partitions by row number, and no article key can be crowded.
 
 All search distinct needles; entries that share one meet what was found afterwards. A field
 that lies within another one of its article, such as a title the text begins with, is not
@@ -29,7 +31,18 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from newstide.operators.substrings import Lookup, with_labels
+from newstide.operators.substrings import (
+    CodeFilter,
+    Lookup,
+    bitmap_sizes,
+    gram_code,
+    may_hold,
+    probes,
+    with_anchors,
+    with_bitmap,
+    with_labels,
+    with_listed,
+)
 from newstide.workspace import stage
 
 
@@ -37,11 +50,14 @@ from newstide.workspace import stage
 class ContainsLimits:
     gram: int = 8  # bytes a needle is filed under at most, 8 at most
     nested_loop_entries: int = 200
+    plain_entries: int = 32  # up to which the nested loop takes no bitmaps
     broadcast_bytes: int = 64 << 20
     row_overhead_bytes: int = 120
-    # For the shuffled index: entries of at least so many characters are filed under n-grams
-    # of that length, of which texts list those at every so-manieth place.
-    classes: tuple[tuple[int, int, int], ...] = ((7, 4, 4), (4, 3, 2), (3, 3, 1), (2, 2, 1), (1, 1, 1))
+    # For the shuffled index: entries of at least so many bytes are filed under n-grams of so
+    # many, of which texts list those at every so-manieth place that pass the filter.
+    classes: tuple[tuple[int, int, int], ...] = tuple((n, n, 1) for n in range(8, 0, -1))
+    filter_bits_per_code: int = 64
+    most_filter_bytes: int = 16 << 20
     # An n-gram found in every text is about this share of all n-grams listed.
     grams_per_text: int = 256
 
@@ -59,26 +75,26 @@ def _class_of(length: Column, classes: tuple[tuple[int, int, int], ...]) -> Colu
     return chosen
 
 
-def _filed(entries: DataFrame, kinds: list[int], limits: ContainsLimits) -> DataFrame:
-    """Entries with ``_kind`` and ``_anchor``, a row per n-gram each is filed under.
+def _filed(needles: DataFrame, kinds: list[int], limits: ContainsLimits) -> DataFrame:
+    """Needles with ``_anchor``, a row per n-gram each is filed under.
 
-    Of the places in an entry where k n-grams in a row can start, the one is taken whose most
-    shared n-gram is shared by the fewest entries.
+    Of the places in a needle where k n-grams in a row can start, the one is taken whose most
+    shared n-gram is shared by the fewest needles.
     """
     needle, parts = F.col(_NEEDLE), []
     for kind in kinds:
-        gram = limits.classes[kind][1]
-        starts = F.sequence(F.lit(1), F.char_length(needle) - gram + 1)
+        _, gram, _ = limits.classes[kind]
+        starts = F.sequence(F.lit(1), F.octet_length(needle) - gram + 1)
         parts.append(
-            entries.filter(F.col(_KIND) == kind).select(_NEEDLE, _KIND).distinct()
+            needles.filter(F.col(_KIND) == kind).select(_NEEDLE, _KIND)
             .select("*", F.posexplode(starts).alias("_at", "_start"))
-            .select(_NEEDLE, _KIND, "_at", F.substring(needle, F.col("_start"), F.lit(gram)).alias(_ANCHOR))
+            .select(_NEEDLE, _KIND, "_at", gram_code(needle, F.col("_start"), min(gram, 8)).alias(_ANCHOR))
         )
     pieces = reduce(DataFrame.union, parts)
-    shared = pieces.select(_NEEDLE, _KIND, _ANCHOR).distinct().groupBy(_KIND, _ANCHOR).agg(F.count(F.lit(1)).alias("_n"))
-    # An entry's own n-grams, as many as it has characters.
+    shared = pieces.select(_NEEDLE, _ANCHOR).distinct().groupBy(_ANCHOR).agg(F.count(F.lit(1)).alias("_n"))
+    # A needle's own n-grams, as many as it has bytes.
     spelled = (
-        pieces.join(shared, [_KIND, _ANCHOR])
+        pieces.join(shared, _ANCHOR)
         .groupBy(_NEEDLE, _KIND)
         .agg(F.array_sort(F.collect_list(F.struct("_at", "_n", _ANCHOR))).alias("_grams"))
     )
@@ -90,10 +106,20 @@ def _filed(entries: DataFrame, kinds: list[int], limits: ContainsLimits) -> Data
         ),
     )
     best = spelled.select(_NEEDLE, _KIND, "_grams", F.array_min(runs)["from"].alias("_from"))
-    anchors = best.select(
+    return best.select(
         _NEEDLE, F.explode(F.array_distinct(F.transform(F.slice("_grams", F.col("_from"), step), lambda g: g[_ANCHOR]))).alias(_ANCHOR)
     )
-    return entries.join(anchors, _NEEDLE)
+
+
+def _code_filter(filed: DataFrame, limits: ContainsLimits) -> CodeFilter:
+    """The filter of the codes filed, made by partial bitmaps."""
+    bits, width = 1 << 15, 1 << 15  # width: bits that one bitmap_construct_agg holds
+    while bits < limits.filter_bits_per_code * filed.count() and bits < 8 * limits.most_filter_bytes:
+        bits *= 2
+    place = F.col(_ANCHOR).bitwiseAND(F.lit(bits - 1))
+    places = filed.select(F.floor(place / width).cast("int").alias("row"), (place % width).alias("bit"))
+    held = places.groupBy("row").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    return CodeFilter(bits, [(r["row"], bytes(r["bits"])) for r in held], width)
 
 
 def _texts(fields: list[str]) -> Column:
@@ -109,48 +135,31 @@ def _texts(fields: list[str]) -> Column:
     )
 
 
-def _with_lowered(articles: DataFrame, fields: list[str]) -> DataFrame:
-    """The articles with ``_lower_0`` and so on: the texts of :func:`_texts`, then empty ones."""
-    return articles.withColumn("_texts", _texts(fields)).select(
-        *articles.columns, *[F.coalesce(F.get("_texts", F.lit(i)), F.lit("")).alias(f"_lower_{i}") for i in range(len(fields))]
-    )
-
-
 def _join_by_shuffle(
-    articles: DataFrame, entries: DataFrame, fields: list[str], lengths: list[int], output: list[str], limits: ContainsLimits
+    articles: DataFrame, needles: DataFrame, fields: list[str], lengths: list[int], kept: list[str], limits: ContainsLimits
 ) -> DataFrame:
-    spark = articles.sparkSession
-    classes = limits.classes
+    """Distinct needles and the articles they lie in: the columns ``kept`` and ``_needle``."""
+    spark, classes = articles.sparkSession, limits.classes
     salts = 1 + int(spark.conf.get("spark.sql.shuffle.partitions")) // limits.grams_per_text
-    kind = _class_of(F.char_length(_NEEDLE), classes)
     kinds = sorted({next((i for i, c in enumerate(classes) if n >= c[0]), len(classes) - 1) for n in lengths})
     if not kinds:  # an empty dictionary
-        return articles.limit(0).crossJoin(entries.limit(0)).select(*output)
-    entries = entries.withColumn(_ENTRY, F.monotonically_increasing_id()).withColumn(_KIND, kind)
-    entries = stage(entries, "entries")
-    filed = _filed(entries, kinds, limits).withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
+        return articles.limit(0).crossJoin(needles.limit(0)).select(*kept, _NEEDLE)
+    needles = needles.withColumn(_KIND, _class_of(F.octet_length(_NEEDLE), classes))
+    filed = stage(_filed(needles, kinds, limits), "filed")
     numbered = stage(articles.withColumn(_ROW, F.monotonically_increasing_id()), "articles")
-    searched = _with_lowered(numbered, fields)
-    lowered = [F.col(f"_lower_{i}") for i in range(len(fields))]
-    listed = []
-    for i in kinds:
-        _, gram, step = classes[i]
-        # The look-ahead takes the n-gram, what follows it moves on by the step.
-        pattern = F.lit(f"(?s)(?=(.{{{gram}}})).{{{step}}}")
-        grams = F.concat(*[F.regexp_extract_all(h, pattern, F.lit(1)) for h in lowered])
-        distinct = F.array_distinct(grams)
-        listed.append(F.arrays_zip(F.array_repeat(F.lit(i), F.size(distinct)).alias(_KIND), distinct.alias(_ANCHOR)))
-    # The outer form spares the optimizer's size test, which would cut the text twice.
-    grams = searched.select(
-        _ROW, F.pmod(F.col(_ROW), F.lit(salts)).cast("int").alias(_SALT), F.inline_outer(F.concat(*listed))
+    texts = numbered.select(_ROW, _texts(fields).alias("_texts"))
+    listed = with_anchors(
+        texts, "_texts", [(min(classes[i][1], 8), classes[i][2]) for i in kinds], _code_filter(filed, limits), "_anchors"
+    )
+    # The outer form spares the optimizer's size test, which would search twice.
+    grams = listed.select(
+        _ROW, F.pmod(F.col(_ROW), F.lit(salts)).cast("int").alias(_SALT), F.explode_outer("_anchors").alias(_ANCHOR)
     ).filter(F.col(_ANCHOR).isNotNull())
-    # Partitioned by article for the removal of repeated candidates and the join after it.
-    candidates = grams.join(filed, [_KIND, _ANCHOR, _SALT]).drop(_KIND, _ANCHOR, _SALT)
-    candidates = candidates.repartition(F.col(_ROW)).dropDuplicates([_ROW, _ENTRY])
-    found = reduce(lambda a, b: a | b, [h.contains(F.col(_NEEDLE)) for h in lowered])
-    return searched.join(candidates, _ROW).filter(found).select(*output)
+    filed = filed.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    candidates = grams.join(filed, [_ANCHOR, _SALT]).groupBy(_ROW).agg(F.collect_set(_NEEDLE).alias("_listed"))
+    met = numbered.join(candidates, _ROW).select(*kept, _texts(fields).alias("_texts"), "_listed")
+    found = with_listed(met, "_texts", "_listed", "_found")
+    return found.select(*kept, F.explode_outer("_found").alias(_NEEDLE)).filter(F.col(_NEEDLE).isNotNull())
 
 
 def contains_join(
@@ -177,12 +186,12 @@ def contains_join(
         lambda a, b: a + b,
         [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in entries.columns],
     ) + F.lit(limits.row_overhead_bytes)
-    most = max(c[0] for c in limits.classes)
+    most = max(8, *[c[0] for c in limits.classes])
     measured = entries.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes"),
         F.count_distinct(_NEEDLE).alias("needles"),
-        F.collect_set(F.least(F.char_length(_NEEDLE), F.lit(most))).alias("lengths"),
+        F.collect_set(F.least(F.octet_length(_NEEDLE), F.lit(most))).alias("lengths"),
     ).first()
 
     kept = articles.columns if keep is None else keep
@@ -192,11 +201,10 @@ def contains_join(
         plan = plan if measured["bytes"] <= limits.broadcast_bytes else "shuffle"
     shared = measured["needles"] < measured["rows"]
     if plan == "shuffle":
-        if not shared:
-            return _join_by_shuffle(articles, entries, fields, measured["lengths"], output, limits)
         needles = entries.select(_NEEDLE).distinct()
-        hits = _join_by_shuffle(articles, needles, fields, measured["lengths"], [*kept, _NEEDLE], limits)
-        return hits.join(entries, _NEEDLE).select(*output)
+        hits = _join_by_shuffle(articles, needles, fields, measured["lengths"], kept, limits)
+        fits = measured["bytes"] <= limits.broadcast_bytes
+        return hits.join(F.broadcast(entries) if fits else entries, _NEEDLE).select(*output)
 
     if plan == "grams":
         needles = stage(entries.select(_NEEDLE).distinct().withColumn(_ENTRY, F.monotonically_increasing_id()), "needles")
@@ -208,9 +216,18 @@ def contains_join(
         return hits.join(F.broadcast(entries), _ENTRY).select(*output)
 
     needles = entries.select(_NEEDLE).distinct() if shared else entries
-    searched = _with_lowered(articles, fields).select(*kept, *[f"_lower_{i}" for i in range(len(fields))])
+    texts = articles.select(*kept, _texts(fields).alias("_texts"))
+    lowered = [F.coalesce(F.get("_texts", F.lit(i)), F.lit("")).alias(f"_lower_{i}") for i in range(len(fields))]
     found = reduce(lambda a, b: a | b, [F.col(f"_lower_{i}").contains(F.col(_NEEDLE)) for i in range(len(fields))])
-    hits = searched.join(F.broadcast(needles), found)
+    if measured["needles"] <= limits.plain_entries:
+        hits = texts.select(*kept, *lowered).join(F.broadcast(needles), found)
+    else:  # every pair is tested by the text's bitmap of n-grams first
+        sizes = bitmap_sizes(measured["lengths"])
+        looked = probes(F.col(_NEEDLE), sizes)
+        needles = needles.withColumns({f"_{kind}_{i}": c for i, p in enumerate(looked) for kind, c in zip(("word", "bit"), p)})
+        likely = may_hold(F.col("_bitmap"), [(F.col(f"_word_{i}"), F.col(f"_bit_{i}")) for i in range(len(looked))])
+        marked = with_bitmap(texts, "_texts", sizes, "_bitmap").select(*kept, *lowered, "_bitmap")
+        hits = marked.join(F.broadcast(needles), likely & found)
     if shared:
         hits = hits.select(*kept, _NEEDLE).join(F.broadcast(entries), _NEEDLE)
     return hits.select(*output)

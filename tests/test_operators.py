@@ -2,6 +2,7 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from newstide.operators.mentions import (
 )
 from newstide.operators.prices import calculate_stock_price_change, join_companies, monthly_price_change
 from newstide.operators.scoring import add_sentiment
+from newstide.operators.substrings import CodeFilter, bitmap_sizes, gram_code, may_hold, probes, with_anchors, with_bitmap
 
 NEWS = "title string, text string, short_description string, date string, sentiment double, unix bigint, time_period string"
 
@@ -125,6 +127,47 @@ def test_nested_loop_tests_each_needle_once(spark, rows):
     assert rows(found, "id", "name") == [(1, "t"), (1, "x"), (1, "y"), (1, "z")]
 
 
+def test_nested_loop_looks_at_bitmaps_first(spark, rows):
+    """Pairs that share no n-gram are told apart without a search of the text, whatever the lengths."""
+    rng = random.Random(8)
+    texts = random_words(7, 40, 60, "abcdé ") + ["", "x" * 9000 + "needle é" + "y" * 9000]
+    needles = sorted({t[i : i + n] for n in range(1, 20) for t in texts for i in [rng.randrange(40)]} | {"needle é", "zz", "x" * 30})
+    articles = spark.createDataFrame([(i, t, t[3:9] + "é") for i, t in enumerate(texts)], "id int, t string, u string")
+    words = spark.createDataFrame([(w,) for w in needles if w], "needle string")
+    found = contains_join(articles, words, ["t", "u"], "needle", plan="nested_loop", keep=["id"])
+    join = plan_of(found).split("BroadcastNestedLoopJoin", 1)[1].split("\n", 1)[0]
+    assert join.index("_bitmap") < join.index("Contains(")
+    expected = sorted((i, w) for i, t in enumerate(texts) for w in needles if w and (w in t or w in t[3:9] + "é"))
+    assert rows(found) == expected
+
+
+def test_bitmaps_tell_most_pairs_apart(spark):
+    texts = [" ".join(random_words(i, 300, 8, "abcdefghijklmnop")) for i in range(20)]
+    needles = random_words(99, 400, 12, "abcdefghijklmnop")
+    needles = sorted({w for w in needles if len(w) > 4})
+    sizes = bitmap_sizes([len(w) for w in needles])
+    marked = with_bitmap(spark.createDataFrame([(i, [t]) for i, t in enumerate(texts)], "id int, t array<string>"), "t", sizes, "bitmap", 4096)
+    looked = probes(F.col("needle"), sizes)
+    words = spark.createDataFrame([(w,) for w in needles], "needle string")
+    passed = marked.crossJoin(words).filter(may_hold(F.col("bitmap"), looked)).select("id", "needle").collect()
+    held = {(i, w) for i, t in enumerate(texts) for w in needles if w in t}
+    assert held <= {tuple(r) for r in passed} and len(passed) < len(held) + len(texts) * len(needles) // 50
+
+
+def test_shuffled_index_lists_only_what_needles_are_filed_under(spark, rows):
+    texts = ["one needle here, nothing else", "no such word in a long text " * 50, "needles néedle"]
+    articles = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    words = spark.createDataFrame([("needle", 1), ("NEEDLE", 2), ("néedle", 3), ("needless", 4)], "needle string, k int")
+    found = contains_join(articles, words, ["t"], "needle", plan="shuffle")
+    plan = plan_of(found)
+    assert "regexp_extract_all" not in plan and plan.count("MapInArrow") == 2
+    assert rows(found, "id", "k") == [(0, 1), (0, 2), (2, 1), (2, 2), (2, 3)]
+    codes = spark.createDataFrame([("needle",)], "w string").select(gram_code(F.col("w"), F.lit(1), 6)).first()[0]
+    known = CodeFilter(1 << 15, [(0, np.packbits(np.arange(1 << 15) == codes % (1 << 15), bitorder="little").tobytes())], 1 << 15)
+    listed = with_anchors(articles.select("id", F.array("t").alias("t")), "t", [(6, 1)], known, "codes")
+    assert {r["id"]: r["codes"] for r in listed.collect()} == {0: [codes], 1: [], 2: [codes]}
+
+
 def test_no_entries_no_pairs(spark):
     articles = spark.createDataFrame([("x",)], "t string")
     for plan in ("nested_loop", "grams", "shuffle"):
