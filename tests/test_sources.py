@@ -9,6 +9,7 @@ from newstide.functions.numbers import double_or_zero, long_or_zero, plain_numbe
 from newstide.operators.mentions import sector_keywords
 from newstide.schemas import ARTICLE_COLUMNS, RAW_ARTICLES, SCORED_ARTICLES
 from newstide.sources.articles import read_articles_array, read_articles_csv, read_articles_json, read_scored_articles
+from newstide.sources import json_arrays
 from newstide.sources.corrupt import corrupt_records
 from newstide.sources.json_arrays import json_objects
 from newstide.sources.dimensions import read_companies_csv, read_sectors_csv
@@ -261,3 +262,30 @@ def test_price_rows_are_parsed_and_zipped_once(spark, tmp_path):
     assert plan.count("from_json") == 1 and plan.count("arrays_zip") == 1
     assert "cast(chart" not in plan and "cast(row" not in plan
     assert [(r.timestamp, r.low) for r in found.orderBy("timestamp").collect()] == [(1, 3.0), (2, 0.0)]
+
+
+def test_objects_within_a_block_are_neither_moved_nor_written(spark, tmp_path, monkeypatch):
+    staged = []
+    monkeypatch.setattr(json_arrays, "stage", lambda df, label: staged.append(df.collect()) or spark.createDataFrame(staged[-1], df.schema))
+    texts = ["plain", 'quote " and } brace', "back\\slash\\", "[{", ""]
+    objects = [{"title": texts[i % 5], "text": str(i)} for i in range(300)]
+    (tmp_path / "one.json").write_text(json.dumps(objects))
+    found = json_objects(spark, str(tmp_path))
+    assert sorted(int(json.loads(r.record)["text"]) for r in found.collect()) == list(range(300))
+    assert [len(rows) for rows in staged] == [2]  # of the file's one block, what ends first and what is left
+    inner = found._jdf.queryExecution().optimizedPlan().toString().split("Union", 1)[1].split("MapInArrow", 1)[0]
+    assert "Window" not in inner and "Aggregate" not in inner
+
+
+def test_price_csv_may_be_compressed(spark, tmp_path, rows):
+    ticks = spark.range(5000).selectExpr(
+        "id * 60 AS timestamp", "'S' || id % 7 AS stockname", "id / 4 AS open", "CAST(id AS DOUBLE) AS close",
+        "id AS volume", "1.5D AS high", "0D AS low",
+    )
+    sizes = {}
+    for codec in (None, "lz4"):
+        path = tmp_path / f"ticks-{codec}"
+        write_prices_csv(ticks, str(path), compression=codec)
+        assert rows(read_prices_csv(spark, str(path))) == rows(ticks)
+        sizes[codec] = sum(f.stat().st_size for f in path.glob("part-*"))
+    assert 3 * sizes["lz4"] < 2 * sizes[None]
