@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from newstide.operators.mentions import (
 )
 from newstide.operators.prices import calculate_stock_price_change, join_companies, monthly_price_change
 from newstide.operators.scoring import add_sentiment
-from newstide.operators.substrings import CodeFilter, bitmap_sizes, gram_code, may_hold, probes, with_anchors, with_bitmap
+from newstide.operators.substrings import CodeFilter, Lookup, bitmap_sizes, gram_code, may_hold, probes, with_anchors, with_bitmap
 
 NEWS = "title string, text string, short_description string, date string, sentiment double, unix bigint, time_period string"
 
@@ -168,6 +169,28 @@ def test_shuffled_index_lists_only_what_needles_are_filed_under(spark, rows):
     assert {r["id"]: r["codes"] for r in listed.collect()} == {0: [codes], 1: [], 2: [codes]}
 
 
+def test_some_dozen_entries_are_found_in_one_pass(spark, rows):
+    """Beyond a few entries a text is searched once for all of them, not once for each."""
+    texts = random_words(11, 50, 60, "abcdé ") + ["", "ab", "a"]
+    needles = sorted({w for w in random_words(12, 120, 9, "abcdé ") if w} | {"a", "é", "ab", "abc"})
+    assert 32 < len(needles) < 200
+    articles = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    found = contains_join(articles, spark.createDataFrame([(w,) for w in needles], "needle string"), ["t"], "needle", keep=["id"])
+    assert "NestedLoop" not in plan_of(found)
+    assert rows(found) == sorted((i, w) for i, t in enumerate(texts) for w in needles if w in t)
+
+
+def test_lookup_passes_by_places_no_needle_starts_at():
+    needles = ["a", "bc", "bcd", "é", "xyzxyzxyz", "q\0", "zz"]
+    texts = [["abc", "bcd"], ["", "é"], ["xyzxyzxyzxyz"], ["q"], ["b", "c"], ["z", "z"], ["zzq", "\0"], ["q\0"]]
+    lookup = Lookup([(n, [n]) for n in needles])
+    found = lookup.search(pa.array(texts), pa.string()).to_pylist()
+    assert found == [sorted((n for n in needles if any(n in t for t in row)), key=str.encode) for row in texts]
+    led = np.flatnonzero(lookup.lead)
+    starts = {n.encode()[:3] for n in needles}
+    assert all(any(int(i).to_bytes(3, "little").startswith(s) for s in starts) for i in led[:: max(1, len(led) // 500)])
+
+
 def test_no_entries_no_pairs(spark):
     articles = spark.createDataFrame([("x",)], "t string")
     for plan in ("nested_loop", "grams", "shuffle"):
